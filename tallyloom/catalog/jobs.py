@@ -4,11 +4,12 @@ from pyspark.sql import functions as F
 
 from tallyloom import fixtures as fx
 from tallyloom.catalog.registry import query
-from tallyloom.functions import calendar as cal
 from tallyloom.functions.text import comma_text
+from tallyloom.operators.aggregates import group_sum
 from tallyloom.operators.reshape import union_by_name
 from tallyloom.operators.totals import cuts_of
 from tallyloom.plans import comingle, graph, learning, levels, providers, reach, sources_merge, weekly
+from tallyloom.session import materialize
 from tallyloom.sources import sheets as sh
 
 
@@ -21,9 +22,10 @@ def _three_sources(t, sheet, label):
 
     The other source is both remaining providers together, with its own label column name.
     """
-    a = sheet(t).filter("mvpd = 'Comcast'").drop("mvpd")
-    b = sheet(t).filter("mvpd = 'Spectrum'").drop("mvpd")
-    rest = sheet(t).filter("mvpd in ('Cox', 'Verizon')").groupBy("display_by").agg(
+    sheets = materialize(sheet(t), "sheets")
+    a = sheets.filter("mvpd = 'Comcast'").drop("mvpd")
+    b = sheets.filter("mvpd = 'Spectrum'").drop("mvpd")
+    rest = sheets.filter("mvpd in ('Cox', 'Verizon')").groupBy("display_by").agg(
         F.sum(F.regexp_replace("impressions_text", ",", "").cast("decimal(18,2)")).alias("n")
     )
     c = rest.select(F.col("display_by").alias(label), comma_text(F.col("n")).alias("impressions_text"))
@@ -65,7 +67,7 @@ def _dayparts(t):
 SELECT 'Total' AS cut, total_impressions, (SELECT sum(hh)::DOUBLE FROM (SELECT mvpd, count(DISTINCT user_id) AS hh FROM delivery GROUP BY mvpd)) AS total_reach
 FROM ({_DAYPART_SQL}) WHERE daypart = 'Total'""")
 def _(t):
-    users = fx.delivery(t).groupBy("mvpd").agg(F.countDistinct("user_id").alias("hh"))
+    users = materialize(fx.delivery(t).groupBy("mvpd").agg(F.countDistinct("user_id").alias("hh")), "users")
     reach_1 = users.agg(*[
         comma_text(F.sum(F.when(F.col("mvpd") == p, F.col("hh")))).alias(f"{p} only unique households")
         for p in ("Comcast", "Spectrum")
@@ -130,24 +132,28 @@ def _(t):
     return reach_rows(t)
 
 
+# Delivery rows carry network, market, hour and date; one provider reports whole weeks besides.
+_ROLES = (("Network", ""), ("Market", ""), ("Hour", ""), ("Date", ""))
+_DELIVERY = tuple(
+    providers.Provider(p, _ROLES + ((("Week", ""),) if p == providers.ANCHOR else ())) for p in fx.PROVIDERS
+)
+
+
 def delivery_fact(t):
-    """The same fact as from the provider sheets, straight from the delivery rows in one pass."""
-    week = F.when(F.col("mvpd") == providers.ANCHOR, F.trunc("event_date", "week")).otherwise(F.col("week"))
-    daily = fx.measured(t)
-    spans = weekly.provider_spans(daily.filter(F.col("mvpd") != providers.ANCHOR)).unionByName(
-        weekly.provider_spans(fx.anchor_weeks(t), days=7)
-    )
-    placed = weekly.with_week(daily, weekly.week_anchor(spans, providers.ANCHOR))
-    cuts = cuts_of(
+    """The same fact as from the provider sheets, straight from the delivery rows.
+
+    One pass over delivery sums each row under its four or five labels; all the rest works on these sums.
+    """
+    roles = cuts_of(
+        ("role", "label"),
         Network=F.col("raw_network"),
         Market=F.col("city"),
-        Day=cal.day_name(F.col("event_date")),
-        Daypart=cal.daypart(F.col("hour")),
-        Week=week.cast("string"),
-        Summary="Total",
+        Hour=F.concat(F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(":00:00")),
+        Date=F.col("event_date").cast("string"),
+        Week=F.when(F.col("mvpd") == providers.ANCHOR, F.trunc("event_date", "week").cast("string")),
     )
-    rows = placed.select("brand", "mvpd", "impressions", cuts)
-    return providers.map_features(rows, fx.net_map(t), fx.dma_map(t))
+    records = group_sum(fx.measured(t).select("brand", "mvpd", "impressions", roles), ["brand", "mvpd", "role", "label"])
+    return providers.provider_cuts(records, fx.net_map(t), fx.dma_map(t), _DELIVERY)
 
 
 def fact(t):

@@ -20,8 +20,8 @@ def _(t):
 
 @query("str_trim", "SELECT event_id, raw_network AS trimmed FROM delivery")
 def _(t):
-    padded = F.concat(F.lit("  "), F.col("raw_network"), F.lit(" "))
-    return fx.delivery(t).select("event_id", F.trim(padded).alias("trimmed"))
+    padded = F.concat(F.lit("  "), F.col("raw_network"), F.lit(" \t\n"))
+    return fx.delivery(t).select("event_id", tx.strip(padded).alias("trimmed"))
 
 
 @query("str_contains", """
@@ -100,16 +100,16 @@ def _(t):
     )
 
 
-@query("join_to_text", "SELECT user_id, event_date, array_to_string(items, ',') AS items_text FROM user_items")
+@query("join_to_text", "SELECT doc_id, array_to_string(items, ',') AS items_text FROM document_words")
 def _(t):
-    return fx.user_items(t).select("user_id", "event_date", tx.join_items(F.col("items")).alias("items_text"))
+    return fx.document_words(t).select("doc_id", tx.join_items(F.col("items")).alias("items_text"))
 
 
-@query("quote_in_list", """
-SELECT user_id, event_date, '(' || array_to_string(list_transform(items, lambda x: '''' || x || ''''), ',') || ')' AS in_list FROM user_items""")
+@query("quote_in_list", r"""
+SELECT doc_id, '(' || array_to_string(list_transform(string_split(text, ','),
+  lambda x: '''' || regexp_replace(x, '^\s+|\s+$', '', 'g') || ''''), ',') || ')' AS in_list FROM documents""")
 def _(t):
-    spaced = F.array_join("items", " , ")
-    return fx.user_items(t).select("user_id", "event_date", tx.quote_in_list(spaced).alias("in_list"))
+    return t.documents.select("doc_id", tx.quote_in_list(F.col("text")).alias("in_list"))
 
 
 @query("title_case", """
@@ -226,13 +226,12 @@ def _(t):
 
 
 @query("array_element_slice", """
-SELECT user_id, event_date, items[1] AS first_item, items[-1] AS last_item, array_to_string(items[2:5], ',') AS items_1_5,
-  array_to_string(items[1:6:2], ',') AS items_0_6_2 FROM user_items""")
+SELECT doc_id, items[1] AS first_item, items[-1] AS last_item, array_to_string(items[2:5], ',') AS items_1_5,
+  array_to_string(items[1:6:2], ',') AS items_0_6_2 FROM document_words""")
 def _(t):
     a = F.col("items")
-    return fx.user_items(t).select(
-        "user_id",
-        "event_date",
+    return fx.document_words(t).select(
+        "doc_id",
         arr.item(a, 0).alias("first_item"),
         arr.item(a, -1).alias("last_item"),
         F.array_join(arr.items(a, 1, 5), ",").alias("items_1_5"),
@@ -241,12 +240,12 @@ def _(t):
 
 
 @query("array_update", """
-SELECT user_id, event_date, len(items) AS n_items, array_to_string(list_append(list_transform(items,
-  lambda x, i: CASE WHEN i = len(items) THEN 'LAST' WHEN i = 1 THEN 'FIRST' ELSE x END), 'added'), ',') AS changed FROM user_items""")
+SELECT doc_id, len(items) AS n_items, array_to_string(list_append(list_transform(items,
+  lambda x, i: CASE WHEN i = len(items) THEN 'LAST' WHEN i = 1 THEN 'FIRST' ELSE x END), 'added'), ',') AS changed FROM document_words""")
 def _(t):
     a = F.col("items")
     changed = arr.set_item(arr.set_item(a, 0, F.lit("FIRST")), -1, F.lit("LAST"))
-    return fx.user_items(t).select(
-        "user_id", "event_date", F.size(a).cast("bigint").alias("n_items"),
+    return fx.document_words(t).select(
+        "doc_id", F.size(a).cast("bigint").alias("n_items"),
         F.array_join(arr.append(changed, F.lit("added")), ",").alias("changed"),
     )

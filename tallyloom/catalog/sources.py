@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tallyloom import fixtures as fx
 from tallyloom.catalog.registry import query
-from tallyloom.operators.aggregates import group_sum
 from tallyloom.plans.providers import PROVIDERS
 from tallyloom.sinks.reports import write_csv
 from tallyloom.sources import sheets as sh
@@ -47,12 +46,12 @@ def provider_lines(t):
 
 @query("read_sheet_set", "SELECT file, sheet, c0, c1 FROM source_lines")
 def _(t):
-    return source_lines(t).select("file", "sheet", sh.cell_at(0).alias("c0"), sh.cell_at(1).alias("c1"))
+    return source_lines(t).select("file", "sheet", "c0", "c1")
 
 
 @query("skip_rows", "SELECT file, sheet, c0, c1 FROM source_lines WHERE c1 IS NOT NULL")
 def _(t):
-    return sh.skip_rows(source_lines(t), 2).select("file", "sheet", sh.cell_at(0).alias("c0"), sh.cell_at(1).alias("c1"))
+    return sh.skip_rows(source_lines(t), 2).select("file", "sheet", "c0", "c1")
 
 
 @query("list_sheets", "SELECT DISTINCT file, sheet FROM source_cells")

@@ -61,8 +61,7 @@ FROM events WHERE event_type IN ('view', 'click')""",
     "attention": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / 50 AS eyes, l_discount * 10 AS face_forward, l_tax * 10 AS chin_up,
   CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS attention FROM lineitem""",
-    "user_items": """
-SELECT user_id, CAST(ts AS DATE) AS event_date, list(event_type ORDER BY event_id) AS items FROM events GROUP BY ALL""",
+    "document_words": "SELECT doc_id, text, string_split(text, ' ') AS items FROM documents",
     "day_sheet": """
 SELECT mvpd, coalesce(day, 'Total') AS display_by, sum(imp) AS n, format('{:,}', CAST(coalesce(sum(imp), 0) AS BIGINT)) AS impressions_text
 FROM delivery GROUP BY ROLLUP (mvpd, day) HAVING mvpd IS NOT NULL""",

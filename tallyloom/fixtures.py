@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar as cal
 from tallyloom.functions.text import comma_text, parse_number, split_first
-from tallyloom.operators.aggregates import exact_sum
+from tallyloom.operators.aggregates import exact_sum, group_sum
 from tallyloom.operators.joins import literal_table
+from tallyloom.operators.totals import cuts_of
 from tallyloom.session import materialize, new_path
 
 PROVIDERS = ["Comcast", "Spectrum", "Cox", "Verizon"]
@@ -156,36 +157,28 @@ def attention(t: Tables) -> DataFrame:
     )
 
 
-def user_items(t: Tables) -> DataFrame:
-    """Event types per user and day, in event order."""
-    pairs = F.sort_array(F.collect_list(F.struct("event_id", "event_type")))
-    return (
-        t.events.groupBy("user_id", F.to_date("ts").alias("event_date"))
-        .agg(F.transform(pairs, lambda p: p["event_type"]).alias("items"))
-    )
+def document_words(t: Tables) -> DataFrame:
+    """The words of each whole text, as an array per row."""
+    return t.documents.select("doc_id", "text", F.split("text", " ").alias("items"))
 
 
 def dimension_long(t: Tables) -> DataFrame:
     """One provider's report as (dimension_name, dimension_value, impressions, uniques) text rows.
 
-    All dimensions come from one pass with grouping sets; each dimension also has a Total row.
+    All dimensions come from one pass; each dimension also has a Total row.
     """
-    rows = measured(t).select(
-        F.col("raw_network").alias("Network"),
-        F.col("raw_market").alias("Market"),
-        cal.day_name(F.col("event_date")).alias("Day of Week"),
-        F.col("hour").cast("string").alias("Hour"),
-        F.trunc("event_date", "week").cast("string").alias("Week"),
-        "brand",
-        "impressions",
-    )
-    names = ["Network", "Market", "Day of Week", "Hour", "Week"]
-    sums = rows.groupingSets([[n] for n in names], *names).agg(exact_sum("impressions").alias("impressions"))
-    name = F.coalesce(*[F.when(F.col(n).isNotNull(), F.lit(n)) for n in names])
-    parts = sums.select(
-        name.alias("dimension_name"), F.coalesce(*names).alias("dimension_value"), "impressions",
-        F.lit(None).cast("bigint").alias("uniques"),
+    dimensions = cuts_of(
+        ("dimension_name", "dimension_value"),
+        **{
+            "Network": F.col("raw_network"),
+            "Market": F.col("raw_market"),
+            "Day of Week": cal.day_name(F.col("event_date")),
+            "Hour": F.col("hour").cast("string"),
+            "Week": F.trunc("event_date", "week").cast("string"),
+        },
     )
+    sums = group_sum(measured(t).select("impressions", dimensions), ["dimension_name", "dimension_value"])
+    parts = sums.withColumn("uniques", F.lit(None).cast("bigint"))
     totals = parts.groupBy("dimension_name").agg(exact_sum("impressions").alias("impressions")).select(
         "dimension_name", F.lit("Total").alias("dimension_value"), "impressions", F.lit(None).cast("bigint").alias("uniques")
     )
@@ -247,20 +240,12 @@ def _source_lines(t: Tables) -> DataFrame:
         )
 
     rows = body("Day", day_sheet(t)).unionByName(body("Hour", hour_sheet(t)))
-    return with_top_lines(rows, ["Delivery report", "All dates"], ["Display By", "Impressions"])
-
-
-def with_top_lines(rows: DataFrame, junk: list[str], header: list[str]) -> DataFrame:
-    """Put junk lines and a header line above the rows of every (file, sheet)."""
-    cells = [c for c in rows.columns if c.startswith("c")]
-
-    def line(rank: int, values: list[str | None]):
-        padded = values + [None] * (len(cells) - len(values))
-        return F.struct(F.lit(rank).alias("rank"), *[F.lit(v).cast("string").alias(c) for c, v in zip(cells, padded)])
-
-    top = [line(i, [text]) for i, text in enumerate(junk)] + [line(2, header)]
-    first = rows.select("file", "sheet").distinct().select("file", "sheet", F.explode(F.array(*top)).alias("_line"))
-    return rows.unionByName(first.select("file", "sheet", "_line.*"))
+    top = F.inline(F.array(
+        F.struct(F.lit(0).alias("rank"), F.lit("Delivery report").alias("c0"), F.lit(None).cast("string").alias("c1")),
+        F.struct(F.lit(1).alias("rank"), F.lit("All dates").alias("c0"), F.lit(None).cast("string").alias("c1")),
+        F.struct(F.lit(2).alias("rank"), F.lit("Display By").alias("c0"), F.lit("Impressions").alias("c1")),
+    ))
+    return rows.unionByName(rows.select("file", "sheet").distinct().select("file", "sheet", top))
 
 
 def _write_sheets(lines: DataFrame, path: str) -> None:
@@ -303,86 +288,80 @@ def short_dayparts(t: Tables) -> DataFrame:
 def provider_sums(t: Tables) -> DataFrame:
     """Impressions per brand, provider and each single dimension, all from one pass."""
     date = F.col("event_date")
-    rows = measured(t).select(
-        "brand",
-        "mvpd",
-        F.col("raw_network").alias("network"),
-        F.col("city").alias("market"),
-        date.cast("string").alias("date"),
-        F.trunc("event_date", "week").cast("string").alias("week"),
-        F.concat(F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(":00:00")).alias("hour"),
-        _short_daypart().alias("daypart"),
-        cal.day_name(date).alias("day"),
-        F.col("brand").alias("campaign"),
-        "impressions",
-    )
-    dims = ["network", "market", "date", "week", "hour", "daypart", "day", "campaign"]
-    sums = rows.groupingSets([["brand", "mvpd", d] for d in dims], "brand", "mvpd", *dims).agg(
-        exact_sum("impressions").alias("impressions")
-    )
-    return sums.select(
-        "brand",
-        "mvpd",
-        F.coalesce(*[F.when(F.col(d).isNotNull(), F.lit(d)) for d in dims]).alias("dimension"),
-        F.coalesce(*dims).alias("label"),
-        F.col("impressions").cast("bigint").cast("string").alias("amount"),
+    dimensions = cuts_of(
+        ("dimension", "label"),
+        network=F.col("raw_network"),
+        market=F.col("city"),
+        date=date.cast("string"),
+        week=F.trunc("event_date", "week").cast("string"),
+        hour=F.concat(F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(":00:00")),
+        daypart=_short_daypart(),
+        day=cal.day_name(date),
+        campaign=F.col("brand"),
     )
+    sums = group_sum(measured(t).select("brand", "mvpd", "impressions", dimensions), ["brand", "mvpd", "dimension", "label"])
+    return sums.withColumn("amount", F.col("impressions").cast("bigint").cast("string")).drop("impressions")
+
+
+# The sheets of each provider: dimension, sheet name, its three header cells, lines above the header.
+_LAYOUTS = [
+    ("Comcast", "network", "Network", "Display By", "Line", "Impressions", 2),
+    ("Comcast", "market", "DMA", "Display By", "Line", "Impressions", 2),
+    ("Comcast", "week", "Week", "Display By", "Line", "Impressions", 2),
+    ("Comcast", "hour", "Hour", "Display By", "Line", "Impressions", 2),
+    ("Comcast", "day", "Day", "Display By", "Line", "Impressions", 2),
+    ("Comcast", "campaign", "Summary", "Campaign", "Line", "Impressions", 2),
+    ("Spectrum", "network", "Networks", "Network", "Line", "Impressions", 0),
+    ("Spectrum", "market", "Geography", "DMA", "DMA Code", "Impressions", 0),
+    ("Spectrum", "date", "Daily Delivery", "Date", "Line", "Impressions", 0),
+    ("Spectrum", "daypart", "Daypart", "Daypart", "Line", "Impressions", 0),
+    ("Spectrum", "day", "Day of Week", "Day", "Line", "Impressions", 0),
+    ("Cox", "network", "VOD Network", "Network", "Line", "Net Counted Ads", 0),
+    ("Cox", "market", "Geo", "Delivered DMA", "Line", "Imps Delivered", 0),
+    ("Cox", "date", "Daily", "Event Date", "Placement Name", "Impressions", 0),
+    ("Cox", "hour", "Hourly", "Hour", "Line", "Delivered Impressions", 0),
+    ("Verizon", "network", "Network", "Network", "Line", "Total Impressions", 0),
+    ("Verizon", "market", "Market", "DMA", "Line", "Total Impressions", 0),
+    ("Verizon", "date", "Date", "Date", "Line", "Total Impressions", 0),
+    ("Verizon", "hour", "Hourly", "Hour", "Line", "Total Impressions", 0),
+    ("Verizon", "day", "DOW", "Day", "Line", "Total Impressions", 0),
+]
 
 
 def _provider_lines(t: Tables) -> DataFrame:
-    """Sheet lines for all providers: (file, sheet, rank, c0 ... c3)."""
-    sums = materialize(provider_sums(t), "provider_sums")  # read once per sheet below
-    label = F.col("label")
-    as_date = label.try_cast("date")
+    """Sheet lines for all providers: (file, sheet, rank, c0, c1, c2), written as each provider writes them."""
+    names = ["mvpd", "dimension", "sheet", "h0", "h1", "h2"]
+    layout = literal_table(t.spark, [(n, "string") for n in names] + [("n_top", "int")], _LAYOUTS)
+    sums = provider_sums(t).join(F.broadcast(layout), ["mvpd", "dimension"])
+    mvpd, dimension, label = F.col("mvpd"), F.col("dimension"), F.col("label")
     short_day = F.get(F.array(*[F.lit(d) for d in _SHORT_DAYS]), cal.day_rank(label).cast("int"))
-    # provider: dimension -> (sheet, header cells, label format)
-    layouts = {
-        "Comcast": (2, {
-            "network": ("Network", ["Display By", "Line", "Impressions"], label),
-            "market": ("DMA", ["Display By", "Line", "Impressions"], F.upper(label)),
-            "week": ("Week", ["Display By", "Line", "Impressions"], label),
-            "hour": ("Hour", ["Display By", "Line", "Impressions"], F.concat(F.lit("Hour "), label)),
-            "day": ("Day", ["Display By", "Line", "Impressions"], label),
-            "campaign": ("Summary", ["Campaign", "Line", "Impressions"], label),
-        }),
-        "Spectrum": (0, {
-            "network": ("Networks", ["Network", "Line", "Impressions"], label),
-            "market": ("Geography", ["DMA", "DMA Code", "Impressions"], label),
-            "date": ("Daily Delivery", ["Date", "Line", "Impressions"], F.date_format(as_date, "d-MMM")),
-            "daypart": ("Daypart", ["Daypart", "Line", "Impressions"], label),
-            "day": ("Day of Week", ["Day", "Line", "Impressions"], label),
-        }),
-        "Cox": (0, {
-            "network": ("VOD Network", ["Network", "Line", "Net Counted Ads"], label),
-            "market": ("Geo", ["Delivered DMA", "Line", "Imps Delivered"], label),
-            "date": ("Daily", ["Event Date", "Placement Name", "Impressions"], label),
-            "hour": ("Hourly", ["Hour", "Line", "Delivered Impressions"], label),
-        }),
-        "Verizon": (0, {
-            "network": ("Network", ["Network", "Line", "Total Impressions"], label),
-            "market": ("Market", ["DMA", "Line", "Total Impressions"], label),
-            "date": ("Date", ["Date", "Line", "Total Impressions"], label),
-            "hour": ("Hourly", ["Hour", "Line", "Total Impressions"], label),
-            "day": ("DOW", ["Day", "Line", "Total Impressions"], short_day),
-        }),
-    }
-    file = F.concat_ws(" ", "brand", "mvpd", F.lit("report"))
-    lines = []
-    for provider, (n_junk, sheets) in layouts.items():
-        of_provider = sums.filter(F.col("mvpd") == provider)
-        for dimension, (sheet, header, text) in sheets.items():
-            body = of_provider.filter(F.col("dimension") == dimension).select(
-                file.alias("file"), F.lit(sheet).alias("sheet"), F.lit(3).alias("rank"),
-                text.alias("c0"), F.lit("all").alias("c1"), F.col("amount").alias("c2"),
-            )
-            total = of_provider.filter(F.col("dimension") == dimension).groupBy(file.alias("file")).agg(
-                F.sum(F.col("amount").cast("decimal(18,2)")).cast("bigint").cast("string").alias("c2")
-            ).select("file", F.lit(sheet).alias("sheet"), F.lit(4).alias("rank"), F.lit("Total").alias("c0"), F.lit(None).cast("string").alias("c1"), "c2")
-            lines.append(with_top_lines(body.unionByName(total), ["Campaign report", "Prepared for review"][:n_junk], header))
-    whole = lines[0]
-    for more in lines[1:]:
-        whole = whole.unionByName(more)
-    return whole
+    text = (
+        F.when((mvpd == "Comcast") & (dimension == "market"), F.upper(label))
+        .when((mvpd == "Comcast") & (dimension == "hour"), F.concat(F.lit("Hour "), label))
+        .when((mvpd == "Spectrum") & (dimension == "date"), F.date_format(label.try_cast("date"), "d-MMM"))
+        .when((mvpd == "Verizon") & (dimension == "day"), short_day)
+        .otherwise(label)
+    )
+    rows = sums.select(
+        F.concat_ws(" ", "brand", "mvpd", F.lit("report")).alias("file"), "sheet", "h0", "h1", "h2", "n_top",
+        F.lit(3).alias("rank"), text.alias("c0"), F.lit("all").alias("c1"), F.col("amount").alias("c2"),
+    )
+    body = materialize(rows, "provider_rows")
+    none = F.lit(None).cast("string")
+    sheets = body.groupBy("file", "sheet", "h0", "h1", "h2", "n_top").agg(
+        F.sum(F.col("c2").cast("decimal(18,2)")).cast("bigint").cast("string").alias("total")
+    )
+    extra = F.inline(F.array(*[
+        F.struct(F.lit(rank).alias("rank"), c0.alias("c0"), c1.alias("c1"), c2.alias("c2"))
+        for rank, c0, c1, c2 in [
+            (0, F.lit("Campaign report"), none, none),
+            (1, F.lit("Prepared for review"), none, none),
+            (2, F.col("h0"), F.col("h1"), F.col("h2")),
+            (4, F.lit("Total"), none, F.col("total")),
+        ]
+    ]))
+    extras = sheets.select("file", "sheet", "n_top", extra).filter("rank >= 2 - n_top").drop("n_top")
+    return body.select("file", "sheet", "rank", "c0", "c1", "c2").unionByName(extras)
 
 
 def daypart_code(hour):
@@ -422,14 +401,11 @@ def wide_hourly(t: Tables) -> DataFrame:
 
 def reach_file(t: Tables) -> DataFrame:
     """Reach reports per brand and provider: a Total segment row and one row per market segment."""
-    base = measured(t)
-    keys = ["brand", "mvpd"]
-    total = base.groupBy(*keys).agg(
-        F.countDistinct("user_id").alias("hh"), exact_sum("impressions").alias("n")
-    ).withColumn("segment", F.lit("Total"))
-    parts = base.groupBy(*keys, F.col("city").alias("segment")).agg(
-        F.countDistinct("user_id").alias("hh"), exact_sum("impressions").alias("n")
-    )
+    # Both kinds of rows start from the same sums per household, which Spark computes once.
+    households = group_sum(measured(t), ["brand", "mvpd", "city", "user_id"])
+    counts = [F.countDistinct("user_id").alias("hh"), exact_sum("impressions").alias("n")]
+    total = households.groupBy("brand", "mvpd").agg(*counts).withColumn("segment", F.lit("Total"))
+    parts = households.groupBy("brand", "mvpd", F.col("city").alias("segment")).agg(*counts)
     return total.unionByName(parts).select(
         F.concat_ws(" ", "brand", "mvpd", F.lit("reach.csv")).alias("file"),
         "segment",

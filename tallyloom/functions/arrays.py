@@ -17,8 +17,9 @@ def items(arr: Column, start: int, stop: int, step: int = 1) -> Column:
 
 def set_item(arr: Column, index: int, value: Column) -> Column:
     """Replace one element; an index outside the array leaves it unchanged."""
-    place = F.lit(index) if index >= 0 else F.size(arr) + index
-    return F.transform(arr, lambda x, i: F.when(i == place, value).otherwise(x))
+    if index < 0:
+        return F.reverse(set_item(F.reverse(arr), -index - 1, value))
+    return F.transform(arr, lambda x, i: F.when(i == index, value).otherwise(x))
 
 
 def append(arr: Column, value: Column) -> Column:

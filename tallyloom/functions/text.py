@@ -15,7 +15,12 @@ def try_number(text: Column, to: str = AMOUNT) -> Column:
 
 def parse_number(text: Column, to: str = AMOUNT) -> Column:
     """Like ``try_number`` after removing thousands commas and dollar signs."""
-    return F.regexp_replace(text, "[,$]", "").try_cast(to)
+    return F.translate(text, ",$", "").try_cast(to)
+
+
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def comma_text(number: Column) -> Column:
@@ -64,22 +69,22 @@ def join_items(items: Column, sep: str = ",") -> Column:
 
 def quote_in_list(names: Column) -> Column:
     """'a, b' -> \"('a','b')\"."""
-    quoted = F.transform(F.split(names, ","), lambda x: F.concat(F.lit("'"), F.trim(x), F.lit("'")))
+    quoted = F.transform(F.split(names, ","), lambda x: F.concat(F.lit("'"), strip(x), F.lit("'")))
     return F.concat(F.lit("("), F.array_join(quoted, ","), F.lit(")"))
 
 
 def title_case(text: Column) -> Column:
     """Upper case for each letter that follows a non-letter ('9am-tv' -> '9Am-Tv'), lower case otherwise.
 
-    ``initcap`` only looks at white space, so the neighbour test is done on the array of characters.
+    ``initcap`` only looks at white space, so each character is paired with the one before it.
     """
     chars = F.split(text, "")
+    before = F.concat(F.array(F.lit(" ")), chars)  # one longer; the last pair has no character and drops out
 
-    def cased(c: Column, i: Column) -> Column:
-        after_letter = F.coalesce(F.get(chars, i - 1).rlike(r"\p{L}"), F.lit(False))
-        return F.when(after_letter, F.lower(c)).otherwise(F.upper(c))
+    def cased(c: Column, previous: Column) -> Column:
+        return F.when(previous.rlike(r"\p{L}"), F.lower(c)).otherwise(F.upper(c))
 
-    return F.array_join(F.transform(chars, cased), "")
+    return F.array_join(F.zip_with(chars, before, cased), "")
 
 
 def _literal(sep: str) -> str:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +50,11 @@ def literal_lookup(df: DataFrame, pairs: dict[str, str], key: str, value: str) -
 
 
 def literal_table(spark: SparkSession, fields: Sequence[tuple[str, str]], rows: Sequence[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, ", ".join(f"`{n}` {t}" for n, t in fields))
+    """A lookup from literals.  It goes in as one Arrow table, so Spark knows its exact size."""
+    arrow = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+    schema = pa.schema([(name, arrow[kind]) for name, kind in fields])
+    columns = [pa.array(values, f.type) for values, f in zip(zip(*rows), schema)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=schema))
 
 
 def map_or_unassigned(

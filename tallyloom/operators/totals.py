@@ -11,11 +11,12 @@ FACT = ["feature_value", "brand", "impressions", "mvpd", "data_type"]
 SUMMARY = "Summary"
 
 
-def cuts_of(**features: Column | str):
+def cuts_of(names: tuple[str, str] = ("data_type", "feature_value"), **features: Column | str):
     """Generator column giving one (data_type, feature_value) row per cut, e.g. ``cuts_of(Day=day)``."""
+    cut_name, feature_name = names
     return F.inline(
         F.array(*[
-            F.struct(F.lit(cut).alias("data_type"), (F.lit(f) if isinstance(f, str) else f).alias("feature_value"))
+            F.struct(F.lit(cut).alias(cut_name), (F.lit(f) if isinstance(f, str) else f).alias(feature_name))
             for cut, f in features.items()
         ])
     )

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar as cal
 from tallyloom.functions.text import last_n, parse_number, split_first, split_into, try_number
-from tallyloom.operators.aggregates import group_sum, keyed
-from tallyloom.operators.joins import UNASSIGNED, lookup, map_or_unassigned
+from tallyloom.operators.aggregates import group_sum
+from tallyloom.operators.joins import UNASSIGNED
 from tallyloom.operators.totals import FACT, cuts_of
 from tallyloom.plans.weekly import provider_spans, week_anchor, with_week
+from tallyloom.session import materialize
 from tallyloom.sources import sheets as sh
 
 
@@ -106,7 +107,7 @@ def map_features(rows: DataFrame, net_map: DataFrame, dma_map: DataFrame, fold_m
 
 
 def sheet_records(lines: DataFrame, providers: Sequence[Provider] = PROVIDERS) -> DataFrame:
-    """Lines of all workbooks to (brand, mvpd, role, label, impressions).
+    """Lines of all workbooks to sums per (brand, mvpd, role, label).
 
     The workbook name 'Brand Provider ...' gives brand and provider, the sheet name the role, and the
     header the impressions column; every provider goes through the same single pass.
@@ -117,14 +118,14 @@ def sheet_records(lines: DataFrame, providers: Sequence[Provider] = PROVIDERS) -
     for p in providers:
         role = F.when(F.col("mvpd") == p.name, sh.sheet_role(F.col("sheet"), p.roles)).otherwise(role)
     tagged = tagged.withColumn("role", role).filter(F.col("role").isNotNull())
-    records = sh.clean_records(sh.promote_header(tagged))
-    return records.select(
+    records = sh.clean_records(sh.promote_header(tagged)).select(
         split_into(F.col("file"), " ", 3)[0].alias("brand"),
         "mvpd",
         "role",
         sh.cell_at(0).alias("label"),
         try_number(sh.measure_cell()).alias("impressions"),
     )
+    return group_sum(records, ["brand", "mvpd", "role", "label"])
 
 
 def daily_rows(records: DataFrame, providers: Sequence[Provider] = PROVIDERS, role: str = "Date") -> DataFrame:
@@ -145,15 +146,31 @@ def sheet_cuts(
     anchor: str | None = ANCHOR,
 ) -> DataFrame:
     """All cuts of all providers from their sheet sets."""
-    records = sheet_records(lines, providers)
+    return provider_cuts(sheet_records(lines, providers), net_map, dma_map, providers, dayparts, anchor)
+
+
+def provider_cuts(
+    records: DataFrame,
+    net_map: DataFrame,
+    dma_map: DataFrame,
+    providers: Sequence[Provider] = PROVIDERS,
+    dayparts: str = "standard",
+    anchor: str | None = ANCHOR,
+) -> DataFrame:
+    """All cuts from sums per (brand, mvpd, role, label).
+
+    These sums, as many as there are labels, are written once; every cut and the span of weeks then
+    start from them instead of the inputs.  Summary, weekday and week rows of providers that have no
+    such sheet come from their dates.
+    """
+    records = materialize(records, "label_sums")
     label = F.col("label")
     aliases = cal.DAYPART_ALIASES if dayparts == "standard" else cal.CUSTOM_DAYPART_CODES
-    alias = _from_literals(aliases, label)
     long_day = F.coalesce(_from_literals(cal.DAY_ABBREVIATIONS, label), label)
     role = F.col("role")
     feature = (
         F.when(role == "Hour", cal.daypart(F.hour(cal.time_on(last_n(label, 8))), dayparts))
-        .when(role == "Daypart", alias)
+        .when(role == "Daypart", _from_literals(aliases, label))
         .when(role == "Day", long_day)
         .when(role == "Summary", "Total")
         .when(role.isin("Network", "Market"), label)
@@ -161,17 +178,17 @@ def sheet_cuts(
     data_type = F.when(role == "Hour", "Daypart").otherwise(role)
     direct = records.select(feature.alias("feature_value"), "brand", "impressions", "mvpd", data_type.alias("data_type"))
 
-    # One row per provider and day; all date cuts start from it.
+    def without(sheet: str) -> Column:
+        return F.col("mvpd").isin([p.name for p in providers if not p.has(sheet)])
+
     daily = group_sum(daily_rows(records, providers), ["brand", "mvpd", "event_date"])
     weeks = daily_rows(records, providers, role="Week")
-    spans = provider_spans(daily).unionByName(provider_spans(weeks, days=7))
+    spans = provider_spans(daily.filter(without("Week"))).unionByName(provider_spans(weeks, days=7))
     placed = with_week(daily, week_anchor(spans, anchor))
-    no_day_sheet = [p.name for p in providers if not p.has("Day")]
-    no_summary = [p.name for p in providers if not p.has("Summary")]
     cuts = cuts_of(
-        Week=F.col("week").cast("string"),
-        Day=F.when(F.col("mvpd").isin(no_day_sheet), cal.day_name(F.col("event_date"))),
-        Summary=F.when(F.col("mvpd").isin(no_summary), F.lit("Total")),
+        Week=F.when(without("Week"), F.col("week").cast("string")),
+        Day=F.when(without("Day"), cal.day_name(F.col("event_date"))),
+        Summary=F.when(without("Summary"), F.lit("Total")),
     )
     dated = placed.select("brand", "mvpd", "impressions", cuts)  # cuts without a feature drop out below
     own_weeks = weeks.select(

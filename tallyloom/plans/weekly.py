@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar as cal
 from tallyloom.operators.aggregates import group_sum
+from tallyloom.session import materialize
 
 
 def provider_spans(daily: DataFrame, date: str = "event_date", days: int = 1) -> DataFrame:
@@ -44,7 +45,11 @@ def week_calendar(anchors: DataFrame) -> DataFrame:
 
 
 def with_week(daily: DataFrame, anchors: DataFrame, date: str = "event_date") -> DataFrame:
-    """Each day's week start and name, by date arithmetic instead of a range join."""
+    """Each day's week start and name, by date arithmetic instead of a range join.
+
+    The anchors are written first, so that Spark knows their size and need not shuffle the days.
+    """
+    anchors = materialize(anchors, "anchors")
     rows = daily.join(anchors.select("brand", F.col("first").alias("_first")), "brand")
     index = cal.week_index(F.col(date), F.col("_first"))
     return rows.withColumns(

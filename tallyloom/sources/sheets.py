@@ -12,36 +12,53 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import contains_word
+from tallyloom.session import materialize
 from tallyloom.sources.tables import path_name
 
 
 def read_sheet_set(spark: SparkSession, root: str, width: int = 8) -> DataFrame:
-    """Lines of every sheet: file, sheet, line_no (0, 1, ... within the sheet) and an array of cells."""
-    schema = ", ".join(f"_c{i} string" for i in range(width))
+    """Lines of every sheet: file, sheet, place and the text cells c0, c1, ...
+
+    ``place`` orders the lines of a sheet: data file, block of the file, line in the scan.  It comes
+    with the scan itself, so nothing is sorted or shuffled to get it.
+    """
+    schema = ", ".join(f"c{i} string" for i in range(width))
     lines = spark.read.schema(schema).option("recursiveFileLookup", True).csv(root)
-    lines = lines.select(
-        path_name(F.col("_metadata.file_path"), 2).alias("file"),
-        path_name(F.col("_metadata.file_path"), 1).alias("sheet"),
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_order"),
-        F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("cells"),
+    path = F.col("_metadata.file_path")
+    return lines.select(
+        path_name(path, 2).alias("file"),
+        path_name(path, 1).alias("sheet"),
+        F.struct(
+            path.alias("path"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("place"),
+        *[f"c{i}" for i in range(width)],
     )
-    return _number_lines(lines)
 
 
-def _number_lines(lines: DataFrame) -> DataFrame:
-    """Line numbers from the line counts of the file blocks; the lines themselves are not sorted."""
-    blocks = lines.groupBy("file", "sheet", "_path", "_block").agg(
-        F.min("_order").alias("_first"), F.count("*").alias("_lines")
+def cell_columns(lines: DataFrame) -> list[str]:
+    return [c for c in lines.columns if c[0] == "c" and c[1:].isdigit()]
+
+
+def with_line_number(lines: DataFrame) -> DataFrame:
+    """Number the lines of each sheet 0, 1, 2, ... from the line counts of the file blocks.
+
+    Only the counts are ordered; the lines themselves stay where they were read, as long as the counts
+    (written first, so that their size is known) are small enough to broadcast.
+    """
+    path, block, line = (F.col(f"place.{c}") for c in ("path", "block", "line"))
+    blocks = lines.groupBy("file", "sheet", path.alias("_path"), block.alias("_block")).agg(
+        F.min(line).alias("_first"), F.count("*").alias("_lines")
     )
     before = Window.partitionBy("file", "sheet").orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(
         "_path", "_block", "_first", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_before")
     )
-    return lines.join(starts, ["_path", "_block"]).select(
-        "file", "sheet", (F.col("_before") + F.col("_order") - F.col("_first")).alias("line_no"), "cells"
-    )
+    starts = materialize(starts, "line_starts")
+    joined = lines.join(starts, (path == F.col("_path")) & (block == F.col("_block")))
+    number = F.col("_before") + line - F.col("_first")
+    return joined.withColumn("line_no", number).drop("_path", "_block", "_first", "_before")
 
 
 def list_sheets(lines: DataFrame) -> DataFrame:
@@ -50,7 +67,7 @@ def list_sheets(lines: DataFrame) -> DataFrame:
 
 def skip_rows(lines: DataFrame, n: int) -> DataFrame:
     """Leave out the first n lines of every sheet."""
-    return lines.filter(F.col("line_no") >= n)
+    return with_line_number(lines).filter(F.col("line_no") >= n).drop("line_no")
 
 
 def classify_file(name: Column, words: dict[str, str], exclude: Sequence[str] = (), temp_marks: Sequence[str] = ("~$",)) -> Column:
@@ -81,27 +98,39 @@ def first_sheet_per_role(sheets: DataFrame, rules: Sequence[tuple[str, str]], po
     return roles.groupBy("file", "role").agg(F.min_by("sheet", position).alias("sheet"))
 
 
-def headers(lines: DataFrame) -> DataFrame:
-    """Header line per sheet: the first of its fullest lines, found with one aggregate."""
-    filled = F.size(F.filter("cells", lambda c: c.isNotNull()))
-    best = F.max(F.struct(filled.alias("filled"), (-F.col("line_no")).alias("place"), F.col("cells"))).alias("best")
-    return lines.groupBy("file", "sheet").agg(best).select(
+def sheet_headers(lines: DataFrame, label: str = "Total") -> DataFrame:
+    """Per sheet its header and the columns in use, all from one aggregate over the lines.
+
+    The header is the first of the fullest lines.  A column is in use if any line below the header,
+    other than a total row, has a value in it.
+    """
+    cells = cell_columns(lines)
+    row = F.array(*cells)
+    gaps = F.size(F.filter(row, lambda c: c.isNull()))
+    data = ~contains_word(F.col(cells[0]), label)
+    last = [F.max(F.when(data & F.col(c).isNotNull(), F.col("place"))).alias(f"_last_{c}") for c in cells]
+    best = F.min(F.struct(gaps.alias("gaps"), "place", row.alias("cells"))).alias("best")
+    found = lines.groupBy("file", "sheet").agg(best, *last)
+    return found.select(
         "file",
         "sheet",
-        (-F.col("best.place")).alias("header_line"),
+        F.col("best.place").alias("header_place"),
         F.transform("best.cells", lambda c: F.trim(c)).alias("header"),
+        F.array(*[F.coalesce(F.col(f"_last_{c}") > F.col("best.place"), F.lit(False)) for c in cells]).alias("used"),
     )
 
 
 def promote_header(lines: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
-    """Lines below the header of their sheet, with the header's cells attached.
+    """Lines below the header of their sheet, as an array of cells with the header's names attached.
 
     With names, those columns are picked out of the cells by header name, absent ones being null.
     """
-    below = lines.join(headers(lines), ["file", "sheet"]).filter(F.col("line_no") > F.col("header_line"))
+    found = materialize(sheet_headers(lines), "headers")
+    below = lines.join(found, ["file", "sheet"]).filter(F.col("place") > F.col("header_place"))
+    below = below.withColumn("cells", F.array(*cell_columns(lines))).drop("header_place", *cell_columns(lines))
     if names is None:
-        return below.drop("header_line")
-    return below.select("file", "sheet", "line_no", *[cell_named(n).alias(n) for n in names])
+        return below
+    return below.select("file", "sheet", "place", *[cell_named(n).alias(n) for n in names])
 
 
 def cell_at(index: int) -> Column:
@@ -138,19 +167,8 @@ def measure_cell() -> Column:
 
 
 def clean_records(records: DataFrame, label: str = "Total") -> DataFrame:
-    """Drop total rows, then rows with a gap in any column that the sheet uses at all.
-
-    Which columns a sheet uses is one small aggregate per sheet over its non-total rows.
-    """
-    rows = records.filter(~contains_word(cell_at(0), label))
-    filled = F.transform("cells", lambda c: c.isNotNull().cast("int"))
-    width = F.size("cells")
-    used = rows.select("file", "sheet", F.posexplode(filled).alias("_column", "_filled")).groupBy(
-        "file", "sheet", "_column"
-    ).agg(F.max("_filled").alias("_filled"))
-    used = used.filter("_filled = 1").groupBy("file", "sheet").agg(F.collect_set("_column").alias("_used"))
+    """Drop total rows, then rows with a gap in any column that their sheet uses."""
     complete = F.forall(
-        F.sequence(F.lit(0), width - 1),
-        lambda i: ~F.array_contains("_used", i) | F.get("cells", i).isNotNull(),
+        F.arrays_zip("cells", "used"), lambda c: ~c["used"] | c["cells"].isNotNull()
     )
-    return rows.join(used, ["file", "sheet"]).filter(complete).drop("_used")
+    return records.filter(~contains_word(cell_at(0), label) & complete).drop("used")
