@@ -175,21 +175,20 @@ def dimension_long(t: Tables) -> DataFrame:
             "Day of Week": cal.day_name(F.col("event_date")),
             "Hour": F.col("hour").cast("string"),
             "Week": F.trunc("event_date", "week").cast("string"),
+            "Campaign": F.col("brand"),
         },
     )
-    sums = group_sum(measured(t).select("impressions", dimensions), ["dimension_name", "dimension_value"])
-    parts = sums.withColumn("uniques", F.lit(None).cast("bigint"))
-    totals = parts.groupBy("dimension_name").agg(exact_sum("impressions").alias("impressions")).select(
-        "dimension_name", F.lit("Total").alias("dimension_value"), "impressions", F.lit(None).cast("bigint").alias("uniques")
+    sums = materialize(
+        group_sum(measured(t).select("impressions", dimensions), ["dimension_name", "dimension_value"]), "dimensions"
     )
-    per_campaign = measured(t).groupBy("brand").agg(
-        exact_sum("impressions").alias("impressions"), F.countDistinct("user_id").alias("uniques")
-    )
-    campaigns = per_campaign.select(F.lit("Campaign").alias("dimension_name"), F.col("brand").alias("dimension_value"), "impressions", "uniques")
-    campaign_total = per_campaign.agg(exact_sum("impressions").alias("impressions"), F.sum("uniques").alias("uniques")).select(
-        F.lit("Campaign").alias("dimension_name"), F.lit("Total").alias("dimension_value"), "impressions", "uniques"
-    )
-    whole = parts.unionByName(totals).unionByName(campaigns).unionByName(campaign_total)
+    households = measured(t).groupBy("brand").agg(F.countDistinct("user_id").alias("uniques"))
+    parts = sums.join(
+        households, (F.col("dimension_name") == "Campaign") & (F.col("dimension_value") == F.col("brand")), "left"
+    ).drop("brand")
+    totals = parts.groupBy("dimension_name").agg(
+        exact_sum("impressions").alias("impressions"), F.sum("uniques").alias("uniques")
+    ).withColumn("dimension_value", F.lit("Total"))
+    whole = parts.unionByName(totals)
     return whole.select(
         "dimension_name",
         "dimension_value",

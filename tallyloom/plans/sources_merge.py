@@ -46,4 +46,7 @@ def total_reach(reach_1: DataFrame, summary_2: DataFrame, dayparts: DataFrame) -
     reach = combine_scalars(first, second).select(
         F.lit("Total").alias("cut"), (F.col("_reach_1") + F.col("_reach_2")).alias("total_reach")
     )
-    return dayparts.withColumnRenamed("daypart", "cut").filter(F.col("cut") == "Total").join(reach, "cut")
+    total = dayparts.withColumnRenamed("daypart", "cut").filter(F.col("cut") == "Total")
+    # Both are single rows with the same label; grouping them together avoids a join on a constant.
+    both = total.unionByName(reach, allowMissingColumns=True)
+    return both.groupBy("cut").agg(F.max("total_impressions").alias("total_impressions"), F.max("total_reach").alias("total_reach"))

@@ -37,9 +37,15 @@ def read_many_csv(spark: SparkSession, folder: str, schema: str | T.StructType,
 def path_name(path: Column, level: int) -> Column:
     """Name of a table (level 1) or of the folder above it (level 2), seen from the data file's path.
 
-    Part files, a trailing '.csv' and a leading 'column=' of partitioned output do not count.
+    Part files, a trailing '.csv' and a leading 'column=' of partitioned output do not count.  This
+    runs for every row, so plain substring searches do the work and decoding only where it is needed.
     """
-    parts = r"([^/]+)/" * (level - 1) + r"([^/]+?)(?:\.csv)?(?:/part-[^/]*)?$"
-    segment = F.regexp_extract(path, parts, 1)
-    plain = F.url_decode(F.replace(segment, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(plain, r"^\w+=", "")
+    is_part = F.substring_index(path, "/", -1).startswith("part-")
+    name = F.when(is_part, _segment(path, level + 1)).otherwise(_segment(path, level))
+    name = F.when(name.endswith(".csv"), F.substring(name, F.lit(1), F.length(name) - 4)).otherwise(name)
+    name = F.when(name.contains("="), F.regexp_replace(name, r"^\w+=", "")).otherwise(name)
+    return F.when(name.contains("%"), F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))).otherwise(name)
+
+
+def _segment(path: Column, from_end: int) -> Column:
+    return F.substring_index(F.substring_index(path, "/", -from_end), "/", 1)
