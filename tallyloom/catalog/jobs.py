@@ -139,7 +139,7 @@ _DELIVERY = tuple(
 )
 
 
-def delivery_fact(t):
+def delivery_fact(t, dayparts="standard"):
     """The same fact as from the provider sheets, straight from the delivery rows.
 
     One pass over delivery sums each row under its four or five labels; all the rest works on these sums.
@@ -153,7 +153,7 @@ def delivery_fact(t):
         Week=F.when(F.col("mvpd") == providers.ANCHOR, F.trunc("event_date", "week").cast("string")),
     )
     records = group_sum(fx.measured(t).select("brand", "mvpd", "impressions", roles), ["brand", "mvpd", "role", "label"])
-    return providers.provider_cuts(records, fx.net_map(t), fx.dma_map(t), _DELIVERY)
+    return providers.provider_cuts(records, fx.net_map(t), fx.dma_map(t), _DELIVERY, dayparts)
 
 
 def fact(t):
@@ -222,6 +222,4 @@ def _(t):
 
 @query("job_neural_net")
 def _(t):
-    rows = fx.attention(t)
-    scored = learning.fit_net(rows, hidden=5).transform(rows)
-    return scored.groupBy("attention", "prediction").agg(F.count("*").alias("n"))
+    return learning.nets_on_split(fx.attention(t), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
