@@ -123,7 +123,12 @@ def _(t):
 
 
 def reach_rows(t):
-    return reach.reach_frequency(reach.read_reach(fx.reach_file(t), fx.PROVIDERS))
+    sums = materialize(fx.reach_sums(t), "reach_sums")
+    return reach.reach_frequency(reach.combine_reach(
+        reach.read_reach(fx.reach_file(sums), fx.PROVIDERS),
+        reach.reach_from_frequency(fx.reach_sheet(sums, "Cox"), "households", "frequency"),
+        reach.reach_from_summary(fx.reach_sheet(sums, "Verizon"), "impressions", "households"),
+    ))
 
 
 @query("job_reach_frequency", """

@@ -98,7 +98,10 @@ SELECT feature_value, brand, coalesce(sum(imp), 0)::DECIMAL(28,2) AS imp, mvpd,
   UNION ALL SELECT CAST(CASE WHEN mvpd = 'Comcast' THEN CAST(date_trunc('week', event_date) AS DATE)
       ELSE first + CAST(7 * floor((event_date - first) / 7) AS INTEGER) END AS VARCHAR), brand, imp, mvpd, 'Week' FROM mapped JOIN week_first USING (brand)
 ) GROUP BY feature_value, brand, mvpd, data_type""",
-    "reach": "SELECT brand, mvpd, sum(imp) AS imp, count(DISTINCT user_id) AS hh FROM delivery GROUP BY ALL",
+    # One provider reports households and a rounded frequency instead of impressions.
+    "reach": """
+SELECT brand, mvpd, CASE WHEN mvpd = 'Cox' THEN CAST(round_even(n::DOUBLE / hh, 2) * hh AS DECIMAL(18,2)) ELSE n END AS imp, hh
+FROM (SELECT brand, mvpd, sum(imp) AS n, count(DISTINCT user_id) AS hh FROM delivery GROUP BY ALL)""",
     "reach_rows": """
 SELECT brand, mvpd, imp::DOUBLE AS imp, hh::DOUBLE AS hh FROM reach
 UNION ALL SELECT brand, 'Total', sum(imp)::DOUBLE, sum(hh)::DOUBLE FROM reach GROUP BY brand""",

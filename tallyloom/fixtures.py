@@ -398,17 +398,32 @@ def wide_hourly(t: Tables) -> DataFrame:
     return pairs.select("mvpd", *groups)
 
 
-def reach_file(t: Tables) -> DataFrame:
-    """Reach reports per brand and provider: a Total segment row and one row per market segment."""
-    # Both kinds of rows start from the same sums per household, which Spark computes once.
+def reach_sums(t: Tables) -> DataFrame:
+    """Households and impressions per brand, provider and segment, with a Total segment each.
+
+    Both kinds of rows start from the same sums per household, which Spark computes once.
+    """
     households = group_sum(measured(t), ["brand", "mvpd", "city", "user_id"])
     counts = [F.countDistinct("user_id").alias("hh"), exact_sum("impressions").alias("n")]
     total = households.groupBy("brand", "mvpd").agg(*counts).withColumn("segment", F.lit("Total"))
-    parts = households.groupBy("brand", "mvpd", F.col("city").alias("segment")).agg(*counts)
-    return total.unionByName(parts).select(
+    return total.unionByName(households.groupBy("brand", "mvpd", F.col("city").alias("segment")).agg(*counts))
+
+
+def reach_file(sums: DataFrame) -> DataFrame:
+    """Reach reports of two providers: a Total segment row and one row per market segment."""
+    return sums.filter(F.col("mvpd").isin("Comcast", "Spectrum")).select(
         F.concat_ws(" ", "brand", "mvpd", F.lit("reach.csv")).alias("file"),
         "segment",
         F.concat(F.lit("$"), comma_text(F.col("hh"))).alias("addressable_hh"),
         F.concat(F.lit("$"), comma_text(F.col("hh") * 2)).alias("hh_booked"),
         comma_text(F.col("n")).alias("delivered_impressions"),
     )
+
+
+def reach_sheet(sums: DataFrame, mvpd: str) -> DataFrame:
+    """Reach as two other providers report it: brand, mvpd, impressions, households and frequency texts."""
+    frequency = F.bround(F.col("n").cast("double") / F.col("hh"), 2).cast("decimal(18,2)")
+    return sums.filter((F.col("mvpd") == mvpd) & (F.col("segment") == "Total")).select(
+        "brand", "mvpd", comma_text(F.col("n")).alias("impressions"), F.col("hh").cast("string").alias("households"),
+        frequency.cast("string").alias("frequency"),
+    )

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tallyloom.functions import calendar as cal
 from tallyloom.functions.text import last_n, parse_number, split_first, split_into, try_number
 from tallyloom.operators.aggregates import group_sum
-from tallyloom.operators.joins import UNASSIGNED
+from tallyloom.operators.joins import UNASSIGNED, literal_lookup
+from tallyloom.operators.reshape import stack_column_groups
 from tallyloom.operators.totals import FACT, cuts_of
 from tallyloom.plans.weekly import provider_spans, week_anchor, with_week
 from tallyloom.session import materialize
@@ -198,6 +199,22 @@ def provider_cuts(
     return map_features(whole, net_map, dma_map)
 
 
+def wide_hour_dayparts(wide: DataFrame, brand: str, mvpd: str) -> DataFrame:
+    """The custom daypart cut of a provider that reports Daypart, Start, End, Impressions side by side."""
+    words = ["Daypart", "Start", "End", "Impressions"]
+    long = stack_column_groups(wide, [], words).withColumn("impressions", try_number(F.col("Impressions")))
+    sums = group_sum(long, words[:3])
+    named = literal_lookup(sums, cal.CUSTOM_DAYPART_CODES, "Daypart", "feature_value")
+    constants = {"brand": F.lit(brand), "mvpd": F.lit(mvpd), "data_type": F.lit("Daypart")}
+    return group_sum(named, ["feature_value"]).withColumns(constants).select(*FACT)
+
+
+def replace_cut(fact: DataFrame, rows: DataFrame) -> DataFrame:
+    """Put rows in place of the same providers' cut of the same kind."""
+    same = ["brand", "mvpd", "data_type"]
+    return fact.join(rows.select(*same).distinct(), same, "left_anti").select(*FACT).unionByName(rows)
+
+
 def summary_from_daily(daily: DataFrame) -> DataFrame:
     """The summary cut of providers that only report days."""
     return (

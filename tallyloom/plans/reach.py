@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import contains_word, parse_number
-from tallyloom.operators.aggregates import TOTAL
+from tallyloom.operators.aggregates import TOTAL, group_sum
 from tallyloom.operators.columns import columns_with, ratio, row_sum
+from tallyloom.operators.reshape import union_by_name
 from tallyloom.operators.totals import append_total_row
 from tallyloom.sources.sheets import classify_file
 
@@ -39,6 +40,34 @@ def read_reach(rows: DataFrame, providers: list[str]) -> DataFrame:
     return clean.groupBy("brand", "mvpd").agg(counted("impressions"), counted("reach"))
 
 
+def reach_from_frequency(rows: DataFrame, households: str, frequency: str) -> DataFrame:
+    """Reach of a provider that reports households and frequency: impressions are their product."""
+    hh, times = parse_number(F.col(households)), parse_number(F.col(frequency))
+    return _summed(rows, hh * times, hh)
+
+
+def reach_from_summary(rows: DataFrame, impressions: str, households: str) -> DataFrame:
+    """Reach of a provider that reports impressions and households in its order summary."""
+    return _summed(rows, parse_number(F.col(impressions)), parse_number(F.col(households)))
+
+
+def reach_from_campaigns(long: DataFrame, brand: str, mvpd: str) -> DataFrame:
+    """Reach from the campaign rows of a dimension-tagged report."""
+    rows = long.filter((F.col("dimension_name") == "Campaign") & (F.col("dimension_value") != "Total"))
+    rows = rows.withColumns({"brand": F.lit(brand), "mvpd": F.lit(mvpd)})
+    return reach_from_summary(rows, "impressions_text", "uniques_text")
+
+
+def _summed(rows: DataFrame, impressions: Column, reach: Column) -> DataFrame:
+    amounts = rows.select("brand", "mvpd", impressions.alias("impressions"), reach.alias("reach"))
+    return group_sum(amounts, ["brand", "mvpd"], "impressions", "reach")
+
+
+def combine_reach(*parts: DataFrame) -> DataFrame:
+    """The reach tables that are present, one row per brand and provider; several of one provider add up."""
+    return group_sum(union_by_name(*parts), ["brand", "mvpd"], "impressions", "reach")
+
+
 def reach_frequency(reach: DataFrame) -> DataFrame:
     """Add a Total provider and the frequency, and turn the metrics into rows of the fact."""
     whole = append_total_row(reach, "mvpd", "impressions", "reach", by=("brand",))

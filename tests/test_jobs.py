@@ -12,7 +12,7 @@ from tallyloom.catalog import jobs
 from tallyloom.operators import aggregates as agg
 from tallyloom.operators import joins, reshape
 from tallyloom.operators import totals as tot
-from tallyloom.plans import comingle, graph, levels, reach, sources_merge
+from tallyloom.plans import comingle, graph, levels, providers, reach, sources_merge
 
 FACT = "feature_value string, brand string, impressions decimal(18,2), mvpd string, data_type string"
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -107,6 +107,35 @@ def test_reach_counts_total_segments_or_the_only_row(frame):
     ]
 
 
+def test_reach_from_other_reports(frame):
+    sheet = frame("brand string, mvpd string, hh string, freq string", ("b", "Cox", "1,000", "2.5"), ("b", "Cox", "10", "1"))
+    long = frame(
+        "dimension_name string, dimension_value string, impressions_text string, uniques_text string",
+        ("Campaign", "c1", "100", "7"), ("Campaign", "c2", "n/a", "3"), ("Campaign", "Total", "100", "10"), ("Hour", "1", "5", None),
+    )
+    both = reach.combine_reach(
+        reach.reach_from_frequency(sheet, "hh", "freq"), reach.reach_from_campaigns(long, "b", "Comcast"),
+        reach.reach_from_summary(frame("brand string, mvpd string, i string, h string", ("b", "Comcast", "1", "2")), "i", "h"),
+    )
+    got = [(m, float(i), float(r)) for _, m, i, r in rows(both, "mvpd")]
+    assert got == [("Comcast", 101.0, 12.0), ("Cox", 2510.0, 1010.0)]
+
+
+def test_wide_hours_replace_the_daypart_cut(frame):
+    wide = frame(
+        "`Daypart.1` string, `Start.1` string, `End.1` string, `Impressions.1` string,"
+        " `Daypart.2` string, `Start.2` string, `End.2` string, `Impressions.2` string",
+        ("DA", "9", "10", "5", "PR", "21", "22", "1"), ("DA", "10", "11", "6", "PR", "21", "22", "n/a"),
+        ("DA", "9", "10", "7", None, None, None, None), ("??", "1", "2", "9", None, None, None, None),
+    )
+    cut = providers.wide_hour_dayparts(wide, "b", "Spectrum")
+    got = {f: float(v) for f, _, v, _, _ in rows(cut)}
+    assert got == {"Daytime - 9AM-4PM": 18.0, "Prime - 8PM-12AM": 1.0}
+    fact = frame(FACT, ("x", "b", Decimal(1), "Spectrum", "Daypart"), ("x", "b", Decimal(2), "Cox", "Daypart"), ("x", "b", Decimal(3), "Spectrum", "Day"))
+    replaced = sorted((m, t, float(v)) for _, _, v, m, t in rows(providers.replace_cut(fact, cut)))
+    assert replaced == [("Cox", "Daypart", 2.0), ("Spectrum", "Day", 3.0), ("Spectrum", "Daypart", 1.0), ("Spectrum", "Daypart", 18.0)]
+
+
 def test_level_change_pairs_every_result(frame):
     schema = "student_id int, first_name string, last_name string, grade int, activity_type string, window_name string, benchmark_category string, sgp_vector string"
     person = (1, "F", "L", 4, "S")
