@@ -8,6 +8,7 @@ from tallyloom.functions import calendar as cal
 from tallyloom.operators import joins as op
 from tallyloom.operators.aggregates import global_sum
 from tallyloom.plans.weekly import provider_spans, week_anchor, with_week
+from tallyloom.session import materialize
 
 
 @query("join_inner_suffix", """
@@ -68,7 +69,8 @@ def _(t):
     daily = fx.delivery(t).select("event_id", "brand", "mvpd", "event_date")
     weeks = fx.anchor_weeks(t)
     spans = provider_spans(daily.filter(F.col("mvpd") != "Comcast")).unionByName(provider_spans(weeks, days=7))
-    return with_week(daily, week_anchor(spans, "Comcast")).drop("brand")
+    anchors = materialize(week_anchor(spans, "Comcast"), "anchors")
+    return with_week(daily, anchors).drop("brand")
 
 
 @query("day_abbrev_to_name", """

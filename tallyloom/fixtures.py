@@ -17,6 +17,22 @@ PROVIDERS = ["Comcast", "Spectrum", "Cox", "Verizon"]
 _written: dict[tuple[str, str, str], str] = {}
 
 
+# Explicit schemas, so that no job has to open files before the query itself starts.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 class Tables:
     """The Parquet tables of one data folder."""
 
@@ -24,7 +40,9 @@ class Tables:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def once(self, name: str, write) -> str:
         """Path of a derived file set; ``write(path)`` runs on the first request of an application only."""
@@ -199,14 +217,9 @@ def dimension_long(t: Tables) -> DataFrame:
 
 def _label_sums(t: Tables, label) -> DataFrame:
     """Impressions per provider and label, as comma text, with a Total row per provider."""
-    sums = measured(t).withColumn("display_by", label).rollup("mvpd", "display_by").agg(
-        exact_sum("impressions").alias("impressions")
-    )
-    return sums.filter("mvpd is not null").select(
-        "mvpd",
-        F.coalesce("display_by", F.lit("Total")).alias("display_by"),
-        comma_text(F.col("impressions")).alias("impressions_text"),
-    )
+    sums = group_sum(measured(t).withColumn("display_by", label), ["mvpd", "display_by"])
+    totals = group_sum(sums, ["mvpd"]).withColumn("display_by", F.lit("Total"))
+    return sums.unionByName(totals).select("mvpd", "display_by", comma_text(F.col("impressions")).alias("impressions_text"))
 
 
 def day_sheet(t: Tables) -> DataFrame:

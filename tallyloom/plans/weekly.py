@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar as cal
 from tallyloom.operators.aggregates import group_sum
-from tallyloom.session import materialize
 
 
 def provider_spans(daily: DataFrame, date: str = "event_date", days: int = 1) -> DataFrame:
@@ -47,9 +46,9 @@ def week_calendar(anchors: DataFrame) -> DataFrame:
 def with_week(daily: DataFrame, anchors: DataFrame, date: str = "event_date") -> DataFrame:
     """Each day's week start and name, by date arithmetic instead of a range join.
 
-    The anchors are written first, so that Spark knows their size and need not shuffle the days.
+    When the days are many rows, hand in anchors that were written (``session.materialize``): Spark then
+    knows how small they are and does not shuffle the days.
     """
-    anchors = materialize(anchors, "anchors")
     rows = daily.join(anchors.select("brand", F.col("first").alias("_first")), "brand")
     index = cal.week_index(F.col(date), F.col("_first"))
     return rows.withColumns(
@@ -69,10 +68,9 @@ def weekly(daily: DataFrame, anchor: str | None, date: str = "event_date", ancho
     per_day = group_sum(daily, ["brand", "mvpd", date])
     spans = provider_spans(per_day, date)
     if anchor_weeks is not None:
-        spans = spans.unionByName(provider_spans(anchor_weeks, date, days=7))
+        per_week = group_sum(anchor_weeks, ["brand", "mvpd", date])
+        spans = spans.unionByName(provider_spans(per_week, date, days=7))
     weeks = group_sum(with_week(per_day, week_anchor(spans, anchor), date), ["brand", "mvpd", "week"])
     if anchor_weeks is not None:
-        weeks = weeks.unionByName(
-            group_sum(anchor_weeks.withColumnRenamed(date, "week"), ["brand", "mvpd", "week"])
-        )
+        weeks = weeks.unionByName(per_week.withColumnRenamed(date, "week"))
     return weeks

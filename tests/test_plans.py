@@ -8,6 +8,7 @@ import __spark_entry__ as entry
 from tallyloom import fixtures as fx
 from tallyloom.catalog import jobs
 from tallyloom.plans.weekly import provider_spans, week_anchor, with_week
+from tallyloom.session import materialize, scratch_dir
 
 
 def plan(df) -> str:
@@ -72,13 +73,12 @@ def test_the_fact_is_built_from_written_sums(spark, folder):
 
 def test_weeks_are_arithmetic(spark, folder):
     daily = fx.measured(fx.Tables(spark, folder))
-    text = plan(with_week(daily, week_anchor(provider_spans(daily), None)))
-    assert "BroadcastHashJoin" in text and "BroadcastNestedLoopJoin" not in text
+    anchors = materialize(week_anchor(provider_spans(daily), None), "anchors")
+    text = plan(with_week(daily, anchors))
+    assert "BroadcastHashJoin" in text and "BroadcastNestedLoopJoin" not in text and "hashpartitioning" not in text
 
 
 def test_intermediates_go_to_the_shared_folder(spark):
-    from tallyloom.session import materialize, scratch_dir
-
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert shared is None or scratch_dir(spark) == shared.rstrip("/")
     kept = materialize(spark.range(3), "three")

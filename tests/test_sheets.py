@@ -57,7 +57,7 @@ def test_gaps_count_only_in_columns_that_are_used(spark, root):
         "w/b.csv": "Name,Note,Imps\nx,seen,1\ny,,2\nSubTotal East,seen,3\n",
     })
     records = sh.clean_records(sh.promote_header(sh.read_sheet_set(spark, path, 3)))
-    got = rows(records.select("sheet", sh.cell_at(0), sh.measure_cell()), "sheet", "cells[0]")
+    got = rows(records.select("sheet", sh.cell_at(0).alias("name"), sh.measure_cell().alias("imps")), "sheet", "name")
     assert got == [("a", "x", "1"), ("a", "y", "2"), ("b", "x", "1")]
 
 
