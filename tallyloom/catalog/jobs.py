@@ -147,17 +147,29 @@ _DELIVERY = tuple(
 def delivery_fact(t, dayparts="standard"):
     """The same fact as from the provider sheets, straight from the delivery rows.
 
-    One pass over delivery sums each row under its four or five labels; all the rest works on these sums.
+    One pass sums each row under its network, its market and its date with hour, which stay few however
+    many rows there are; hours, dates and weeks are then made from the sums per date and hour.
     """
     roles = cuts_of(
         ("role", "label"),
         Network=F.col("raw_network"),
         Market=F.col("city"),
-        Hour=F.concat(F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(":00:00")),
-        Date=F.col("event_date").cast("string"),
-        Week=F.when(F.col("mvpd") == providers.ANCHOR, F.trunc("event_date", "week").cast("string")),
+        Time=F.concat_ws(" ", F.col("event_date").cast("string"), F.lpad(F.col("hour").cast("string"), 2, "0")),
     )
-    records = group_sum(fx.measured(t).select("brand", "mvpd", "impressions", roles), ["brand", "mvpd", "role", "label"])
+    keys = ["brand", "mvpd", "role", "label"]
+    sums = group_sum(fx.measured(t).select("brand", "mvpd", "impressions", roles), keys)
+    date, hour = F.split("label", " ")[0], F.split("label", " ")[1]
+    role, is_time = F.col("role"), F.col("role") == "Time"
+    parts = cuts_of(
+        ("part", "value"),
+        Network=F.when(role == "Network", F.col("label")),
+        Market=F.when(role == "Market", F.col("label")),
+        Hour=F.when(is_time, F.concat(hour, F.lit(":00:00"))),
+        Date=F.when(is_time, date),
+        Week=F.when(is_time & (F.col("mvpd") == providers.ANCHOR), F.trunc(date.try_cast("date"), "week").cast("string")),
+    )
+    parts_of_sums = sums.select("brand", "mvpd", "impressions", parts)
+    records = group_sum(parts_of_sums.withColumnsRenamed({"part": "role", "value": "label"}), keys)
     return providers.provider_cuts(records, fx.net_map(t), fx.dma_map(t), _DELIVERY, dayparts)
 
 

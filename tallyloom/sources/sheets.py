@@ -141,12 +141,6 @@ def cell_named(name: str) -> Column:
     return F.get("cells", F.array_position("header", F.lit(name)).cast("int") - 1)
 
 
-def cell_like(pattern: str) -> Column:
-    """The cell of the first column whose lower-cased header fits a regex."""
-    low = F.transform("header", lambda h: F.coalesce(F.lower(h).rlike(pattern), F.lit(False)))
-    return F.get("cells", F.array_position(low, F.lit(True)).cast("int") - 1)
-
-
 def measure_cell() -> Column:
     """The impressions cell, by the rules of ``operators.columns.measure_column``; null if none fits."""
 
