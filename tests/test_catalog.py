@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from tallyloom import catalog
 from tools import check
 
 
@@ -11,13 +12,13 @@ def con(folder):
     return check.connect(folder)
 
 
-@pytest.mark.parametrize("key", list(entry.queries()))
+@pytest.mark.parametrize("key", list(catalog.queries()))
 def test_query_agrees_with_sql(spark, con, folder, key):
     assert check.differences(spark, con, folder, key) == []
 
 
 def test_only_the_net_has_no_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"job_neural_net"}
+    assert set(catalog.queries()) - set(catalog.oracles()) == {"job_neural_net"}
 
 
 def test_entry_has_the_schema_of_the_report(spark):
