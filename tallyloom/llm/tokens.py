@@ -22,7 +22,7 @@ CHECKPOINT_IDS = 64
 CACHE_WORDS = 300_000
 
 # White space that str.split also takes but that is left to the tokenizer here.
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _ASCII_SPACE = re.compile("[\x09-\x0d\x20]+")
 
 _encoders: dict[str, Encoder] = {}
