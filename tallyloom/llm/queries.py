@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, html, language, mixing, near_dup, neighbours, tokens, warc
+from tallyloom.llm import chat, decontaminate, html, language, lines, mixing, near_dup, neighbours, tokens, warc
 from tallyloom.llm.common import materialize
 from tallyloom.session import new_path
 
@@ -26,6 +26,10 @@ def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(_table(spark, folder, "pages"))
 
 
+def op3_fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.dedup_lines(_table(spark, folder, "documents")).select("doc_id", "n_lines", "n_kept", "text")
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     out = decontaminate.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return out.select("doc_id", *decontaminate.ADDED)
@@ -81,7 +85,7 @@ def op10_token_output(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_nearest_neighbours, op2_main_text, op4_decontaminate, op5_mix_sources, op6_warc_archives, op7_chat_examples, op8_minhash_near_dup, op9_language_id, op10_token_output,
+    op1_nearest_neighbours, op2_main_text, op3_fuzzy_lines, op4_decontaminate, op5_mix_sources, op6_warc_archives, op7_chat_examples, op8_minhash_near_dup, op9_language_id, op10_token_output,
 )}
 
 _WORDS = r"[^\x20\x09-\x0D]+"
