@@ -13,11 +13,11 @@ from tallyloom.session import materialize
 
 @query("join_inner_suffix", """
 SELECT a.display_by, a.impressions_text AS impressions_text_x, b.impressions_text AS impressions_text_y
-FROM day_sheet a JOIN day_sheet b USING (display_by) WHERE a.mvpd = 'Comcast' AND b.mvpd = 'Spectrum'""")
+FROM day_sheet a JOIN day_sheet b USING (display_by) WHERE a.mvpd IN ('Comcast', 'Cox') AND b.mvpd IN ('Spectrum', 'Verizon')""")
 def _(t):
     days = fx.day_sheet(t)
-    a = days.filter("mvpd = 'Comcast'").drop("mvpd")
-    b = days.filter("mvpd = 'Spectrum'").drop("mvpd")
+    a = days.filter("mvpd IN ('Comcast', 'Cox')").drop("mvpd")
+    b = days.filter("mvpd IN ('Spectrum', 'Verizon')").drop("mvpd")
     return op.merge_inner(a, b, "display_by")
 
 

@@ -49,15 +49,17 @@ def _(t):
     )
 
 
-@query("parse_number_text", "SELECT event_id, imp::DOUBLE AS impressions FROM delivery")
+@query("parse_number_text", "SELECT event_id, imp::DOUBLE + 0.12345::DOUBLE AS impressions FROM delivery")
 def _(t):
-    priced = F.concat(F.lit("$"), F.col("impressions_text"))
+    priced = F.concat(F.lit("$"), F.col("impressions_text"), F.lit(".12345"))  # 'n/a.12345' is no number either
     return fx.delivery(t).select("event_id", tx.parse_number(priced).cast("double").alias("impressions"))
 
 
-@query("to_numeric_coerce", "SELECT event_id, TRY_CAST(impressions_text AS DOUBLE) AS impressions FROM delivery")
+@query("to_numeric_coerce", """
+SELECT event_id, TRY_CAST(impressions_text AS DOUBLE) AS impressions, TRY_CAST(impressions_text || 'e15' AS DOUBLE) AS large FROM delivery""")
 def _(t):
-    return fx.delivery(t).select("event_id", tx.try_number(F.col("impressions_text")).cast("double").alias("impressions"))
+    text = F.col("impressions_text")
+    return fx.delivery(t).select("event_id", tx.try_number(text).alias("impressions"), tx.try_number(F.concat(text, F.lit("e15"))).alias("large"))
 
 
 @query("str_split_first", "SELECT event_id, city FROM delivery")

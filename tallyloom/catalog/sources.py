@@ -6,6 +6,7 @@ from tallyloom import fixtures as fx
 from tallyloom.catalog.registry import query
 from tallyloom.plans.providers import PROVIDERS
 from tallyloom.sinks.reports import write_csv
+from tallyloom.session import materialize
 from tallyloom.sources import sheets as sh
 from tallyloom.sources.tables import read_csv, read_many_csv
 
@@ -37,26 +38,35 @@ def _(t):
 
 
 def source_lines(t):
-    return sh.read_sheet_set(t.spark, fx.source_files(t), width=2)
+    return sh.read_sheet_set(t.spark, fx.source_files(t))
 
 
 def provider_lines(t):
-    return sh.read_sheet_set(t.spark, fx.provider_files(t), width=4)
+    return sh.read_sheet_set(t.spark, fx.provider_files(t))
 
 
-@query("read_sheet_set", "SELECT file, sheet, c0, c1 FROM source_lines")
+def first_cells(lines, n):
+    return lines.select("file", "sheet", *[sh.cell_at(i).alias(f"c{i}") for i in range(n)])
+
+
+@query("read_sheet_set", """
+SELECT file, sheet, c0, c1, NULL::VARCHAR AS c9 FROM source_lines
+UNION ALL SELECT file, 'Reach-Frequency', c0, c6, c9 FROM frequency_lines""")
 def _(t):
-    return source_lines(t).select("file", "sheet", "c0", "c1")
+    # The two-column sheets and the ten-column one, whose lines are of different length.
+    narrow = first_cells(source_lines(t), 2).withColumn("c9", F.lit(None).cast("string"))
+    wide = provider_lines(t).filter("sheet = 'Reach-Frequency'")
+    return narrow.unionByName(wide.select("file", "sheet", sh.cell_at(0).alias("c0"), sh.cell_at(6).alias("c1"), sh.cell_at(9).alias("c9")))
 
 
 @query("skip_rows", "SELECT file, sheet, c0, c1 FROM source_lines WHERE c1 IS NOT NULL")
 def _(t):
-    return sh.skip_rows(source_lines(t), 2).select("file", "sheet", "c0", "c1")
+    return first_cells(sh.skip_rows(source_lines(t), 2), 2)
 
 
 @query("list_sheets", "SELECT DISTINCT file, sheet FROM source_cells")
 def _(t):
-    return sh.list_sheets(source_lines(t))
+    return sh.list_sheets(source_lines(t)).drop("position")
 
 
 @query("promote_header", "SELECT file, sheet, c0 AS display_by, c1 AS impressions FROM source_cells")
@@ -83,13 +93,14 @@ def _(t):
     return n.fillna(0.0, subset=["impressions"])
 
 
+# Words of sheet names.
 _ROLE_RULES = [
     ("Date", "daily|date"), ("Market", "geo|market|dma"), ("Network", "net"), ("Hour", "hour"),
     ("Day of Week", "day|dow"), ("Creative", "creative"), ("Reach", "reach|summary"),
 ]
 _FITS = [f"CASE WHEN regexp_matches(lower(p.sheet), '{p}') THEN '{r}' END" for r, p in _ROLE_RULES]
 _FIRST = " UNION ALL ".join(
-    f"SELECT file, min(sheet) AS sheet, '{r}' AS role FROM provider_sheets WHERE regexp_matches(lower(sheet), '{p}') GROUP BY file"
+    f"SELECT file, arg_min(sheet, position) AS sheet, '{r}' AS role FROM provider_sheets WHERE regexp_matches(lower(sheet), '{p}') GROUP BY file"
     for r, p in _ROLE_RULES)
 
 
@@ -98,9 +109,9 @@ SELECT p.file, p.sheet, coalesce({', '.join(reversed(_FITS))}) AS role, f.first_
 FROM provider_sheets p LEFT JOIN (SELECT file, sheet, string_agg(role, ',' ORDER BY role) AS first_for FROM ({_FIRST}) GROUP BY file, sheet) f
 ON p.file = f.file AND p.sheet = f.sheet""")
 def _(t):
-    sheets = sh.list_sheets(provider_lines(t))
+    sheets = materialize(sh.list_sheets(provider_lines(t)), "sheets")
     first = sh.first_sheet_per_role(sheets, _ROLE_RULES).groupBy("file", "sheet").agg(
         F.array_join(F.sort_array(F.collect_set("role")), ",").alias("first_for")
     )
     last_wins = sheets.withColumn("role", sh.sheet_role(F.col("sheet"), _ROLE_RULES, precedence="last"))
-    return last_wins.join(first, ["file", "sheet"], "left")
+    return last_wins.drop("position").join(first, ["file", "sheet"], "left")

@@ -57,7 +57,7 @@ SELECT o_custkey AS student_id, 'First' || o_custkey AS first_name, 'Last' || o_
 FROM orders""",
     "both_edges": """
 SELECT user_id AS "from", event_id % 150 AS "to", CASE WHEN user_id % 2 = 0 THEN 'male' ELSE 'female' END AS gender_from, event_id AS edge_id
-FROM events WHERE event_type IN ('view', 'click')""",
+FROM events""",
     "attention": """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / 50 AS eyes, l_discount * 10 AS face_forward, l_tax * 10 AS chin_up,
   CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS attention FROM lineitem""",
@@ -76,11 +76,12 @@ SELECT * FROM source_cells
 UNION ALL SELECT s.file, s.sheet, l.c0, l.c1 FROM (SELECT DISTINCT file, sheet FROM source_cells) s,
   (VALUES ('Delivery report', NULL), ('All dates', NULL), ('Display By', 'Impressions')) AS l(c0, c1)""",
     "provider_sheets": """
-SELECT brand || ' ' || mvpd || ' report' AS file, sheet FROM (SELECT DISTINCT brand, mvpd FROM delivery) d
-JOIN (VALUES ('Comcast','Network'), ('Comcast','DMA'), ('Comcast','Week'), ('Comcast','Hour'), ('Comcast','Day'), ('Comcast','Summary'),
-  ('Spectrum','Networks'), ('Spectrum','Geography'), ('Spectrum','Daily Delivery'), ('Spectrum','Daypart'), ('Spectrum','Day of Week'),
-  ('Cox','VOD Network'), ('Cox','Geo'), ('Cox','Daily'), ('Cox','Hourly'),
-  ('Verizon','Network'), ('Verizon','Market'), ('Verizon','Date'), ('Verizon','Hourly'), ('Verizon','DOW')) AS s(provider, sheet) ON mvpd = provider""",
+SELECT brand || ' ' || mvpd || ' report' AS file, sheet, position FROM (SELECT DISTINCT brand, mvpd FROM delivery) d
+JOIN (VALUES ('Comcast','Network',1), ('Comcast','DMA',2), ('Comcast','Week',3), ('Comcast','Week Hour',4), ('Comcast','Day of Week',5), ('Comcast','Summary',6),
+  ('Comcast','Network by Week',7),
+  ('Spectrum','Networks',1), ('Spectrum','Geography',2), ('Spectrum','Daily Delivery',3), ('Spectrum','Daypart',4), ('Spectrum','Day of Week',5),
+  ('Cox','VOD Network',1), ('Cox','Geo',2), ('Cox','Daily',3), ('Cox','Hourly',4), ('Cox','Reach-Frequency',5),
+  ('Verizon','Network',1), ('Verizon','Market',2), ('Verizon','Date',3), ('Verizon','Hourly',4), ('Verizon','DOW',5), ('Verizon','Order Summary',6)) AS s(provider, sheet, position) ON mvpd = provider""",
     "spans": "SELECT brand, mvpd, min(event_date) AS first, max(event_date) AS last FROM delivery GROUP BY ALL",
     # Shared weeks: the providers report from their own first day on, one of them whole calendar weeks.
     "week_first": """
@@ -98,10 +99,18 @@ SELECT feature_value, brand, coalesce(sum(imp), 0)::DECIMAL(28,2) AS imp, mvpd,
   UNION ALL SELECT CAST(CASE WHEN mvpd = 'Comcast' THEN CAST(date_trunc('week', event_date) AS DATE)
       ELSE first + CAST(7 * floor((event_date - first) / 7) AS INTEGER) END AS VARCHAR), brand, imp, mvpd, 'Week' FROM mapped JOIN week_first USING (brand)
 ) GROUP BY feature_value, brand, mvpd, data_type""",
-    # One provider reports households and a rounded frequency instead of impressions.
+    "households": "SELECT brand, mvpd, sum(imp) AS n, count(DISTINCT user_id) AS hh FROM delivery GROUP BY ALL",
+    # One provider reports households and a rounded frequency instead of impressions; another has a second reach file
+    # with one row per brand, and campaign rows in its dimension-tagged report.
     "reach": """
-SELECT brand, mvpd, CASE WHEN mvpd = 'Cox' THEN CAST(round_even(n::DOUBLE / hh, 2) * hh AS DECIMAL(18,2)) ELSE n END AS imp, hh
-FROM (SELECT brand, mvpd, sum(imp) AS n, count(DISTINCT user_id) AS hh FROM delivery GROUP BY ALL)""",
+SELECT brand, mvpd, sum(imp) AS imp, sum(hh) AS hh FROM (
+  SELECT brand, mvpd, CASE WHEN mvpd = 'Cox' THEN CAST(round_even(n::DOUBLE / hh, 2) * hh AS DECIMAL(18,2)) ELSE n END AS imp, hh FROM households
+  UNION ALL SELECT brand, mvpd, 5000, 1000 FROM households WHERE mvpd = 'Comcast'
+  UNION ALL SELECT 'BrandA', 'Comcast', sum(n), sum(hh) FROM (SELECT sum(imp) AS n, count(DISTINCT user_id) AS hh FROM delivery GROUP BY brand))
+GROUP BY brand, mvpd""",
+    "frequency_lines": """
+SELECT brand || ' Cox report' AS file, 'Display By' AS c0, 'Households' AS c6, 'Note' AS c9 FROM households WHERE mvpd = 'Cox'
+UNION ALL SELECT brand || ' Cox report', 'Campaign', hh::VARCHAR, 'end' FROM households WHERE mvpd = 'Cox'""",
     "reach_rows": """
 SELECT brand, mvpd, imp::DOUBLE AS imp, hh::DOUBLE AS hh FROM reach
 UNION ALL SELECT brand, 'Total', sum(imp)::DOUBLE, sum(hh)::DOUBLE FROM reach GROUP BY brand""",

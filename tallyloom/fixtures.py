@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar as cal
-from tallyloom.functions.text import comma_text, parse_number, split_first
+from tallyloom.functions.text import AMOUNT, comma_text, parse_number, split_first
 from tallyloom.operators.aggregates import exact_sum, group_sum
 from tallyloom.operators.joins import literal_table
 from tallyloom.operators.totals import cuts_of
@@ -77,7 +77,7 @@ def delivery(t: Tables) -> DataFrame:
 def measured(t: Tables) -> DataFrame:
     """Delivery with the impressions as numbers and the market's city."""
     return delivery(t).withColumns(
-        {"impressions": parse_number(F.col("impressions_text")), "city": split_first(F.col("raw_market"), ", ")}
+        {"impressions": parse_number(F.col("impressions_text"), AMOUNT), "city": split_first(F.col("raw_market"), ", ")}
     )
 
 
@@ -145,8 +145,9 @@ def screening(t: Tables) -> DataFrame:
     )
 
 
-def edges(t: Tables, event_type: str) -> DataFrame:
-    return t.events.filter(F.col("event_type") == event_type).select(
+def edges(t: Tables, half: int) -> DataFrame:
+    """One of the two edge lists; together they hold every event."""
+    return t.events.filter(F.col("event_id") % 2 == half).select(
         F.col("user_id").alias("from"),
         (F.col("event_id") % 150).alias("to"),
         F.when(F.col("user_id") % 2 == 0, "male").otherwise("female").alias("gender_from"),
@@ -155,11 +156,11 @@ def edges(t: Tables, event_type: str) -> DataFrame:
 
 
 def best_friends(t: Tables) -> DataFrame:
-    return edges(t, "view")
+    return edges(t, 0)
 
 
 def gets_on_with(t: Tables) -> DataFrame:
-    return edges(t, "click")
+    return edges(t, 1)
 
 
 def attention(t: Tables) -> DataFrame:
@@ -260,21 +261,50 @@ def _source_lines(t: Tables) -> DataFrame:
     return rows.unionByName(rows.select("file", "sheet").distinct().select("file", "sheet", top))
 
 
-def _write_sheets(lines: DataFrame, path: str) -> None:
+def _write_sheets(lines: DataFrame, path: str, mode: str = "error") -> None:
     """Write report sheets.  A sheet has one line per day, hour, market or network, so it fits a task."""
     cells = [c for c in lines.columns if c.startswith("c")]
     (
         lines.repartition("file", "sheet")
         .sortWithinPartitions("file", "sheet", "rank", "c0")
         .select("file", "sheet", *cells)
-        .write.partitionBy("file", "sheet")
+        .write.mode(mode).partitionBy("file", "sheet")
         .csv(path)
     )
 
 
 def provider_files(t: Tables) -> str:
     """Workbooks 'Brand Provider report' with each provider's own sheet names, headers and formats."""
-    return t.once("provider_files", lambda path: _write_sheets(_provider_lines(t), path))
+    def write(path: str) -> None:
+        _write_sheets(_provider_lines(t), path)
+        sums = materialize(reach_sums(t), "reach_sums")
+        for lines in (_frequency_lines(sums), _order_lines(sums)):
+            _write_sheets(lines, path, "append")
+
+    return t.once("provider_files", write)
+
+
+def _two_lines(rows: DataFrame, header: list[str], cells: list) -> DataFrame:
+    """A header and one line of cells for each (file, sheet)."""
+    lines = [
+        F.struct(F.lit(rank).alias("rank"), *[c.alias(f"c{i}") for i, c in enumerate(row)])
+        for rank, row in enumerate([[F.lit(h) for h in header], cells])
+    ]
+    return rows.select("file", "sheet", F.inline(F.array(*lines)))
+
+
+def _frequency_lines(sums: DataFrame) -> DataFrame:
+    """The ten-column reach sheet of one provider: households in the seventh column, frequency in the eighth."""
+    rows = reach_sheet(sums, "Cox").select(F.concat("brand", F.lit(" Cox report")).alias("file"), F.lit("5. Reach-Frequency").alias("sheet"), "households", "frequency")
+    header = ["Display By", "Line", "Start", "End", "Market", "Audience", "Households", "Frequency", "Share", "Note"]
+    cells = [F.lit(x) for x in ("Campaign", "all", "-", "-", "all", "all")] + [F.col("households"), F.col("frequency"), F.lit("100%"), F.lit("end")]
+    return _two_lines(rows, header, cells)
+
+
+def _order_lines(sums: DataFrame) -> DataFrame:
+    """The order summary of one provider: impressions with commas, and households."""
+    rows = reach_sheet(sums, "Verizon").select(F.concat("brand", F.lit(" Verizon report")).alias("file"), F.lit("6. Order Summary").alias("sheet"), "impressions", "households")
+    return _two_lines(rows, ["Order", "Impressions", "Households"], [F.lit("1"), F.col("impressions"), F.col("households")])
 
 
 # Clock hour to the short daypart names one provider uses.
@@ -320,9 +350,10 @@ _LAYOUTS = [
     ("Comcast", "network", "Network", "Display By", "Line", "Impressions", 2),
     ("Comcast", "market", "DMA", "Display By", "Line", "Impressions", 2),
     ("Comcast", "week", "Week", "Display By", "Line", "Impressions", 2),
-    ("Comcast", "hour", "Hour", "Display By", "Line", "Impressions", 2),
-    ("Comcast", "day", "Day", "Display By", "Line", "Impressions", 2),
+    ("Comcast", "hour", "Week Hour", "Display By", "Line", "Impressions", 2),
+    ("Comcast", "day", "Day of Week", "Display By", "Line", "Impressions", 2),
     ("Comcast", "campaign", "Summary", "Campaign", "Line", "Impressions", 2),
+    ("Comcast", "network", "Network by Week", "Display By", "Line", "Impressions", 2),
     ("Spectrum", "network", "Networks", "Network", "Line", "Impressions", 0),
     ("Spectrum", "market", "Geography", "DMA", "DMA Code", "Impressions", 0),
     ("Spectrum", "date", "Daily Delivery", "Date", "Line", "Impressions", 0),
@@ -343,14 +374,19 @@ _LAYOUTS = [
 def _provider_lines(t: Tables) -> DataFrame:
     """Sheet lines for all providers: (file, sheet, rank, c0, c1, c2), written as each provider writes them."""
     names = ["mvpd", "dimension", "sheet", "h0", "h1", "h2"]
-    layout = literal_table(t.spark, [(n, "string") for n in names] + [("n_top", "int")], _LAYOUTS)
+    place: dict[str, int] = {}
+    rows = []
+    for mvpd, dimension, sheet, *rest in _LAYOUTS:  # a sheet's name begins with its place in the workbook
+        place[mvpd] = place.get(mvpd, 0) + 1
+        rows.append((mvpd, dimension, f"{place[mvpd]}. {sheet}", *rest))
+    layout = literal_table(t.spark, [(n, "string") for n in names] + [("n_top", "int")], rows)
     sums = provider_sums(t).join(F.broadcast(layout), ["mvpd", "dimension"])
     mvpd, dimension, label = F.col("mvpd"), F.col("dimension"), F.col("label")
     short_day = F.get(F.array(*[F.lit(d) for d in _SHORT_DAYS]), cal.day_rank(label).cast("int"))
     text = (
         F.when((mvpd == "Comcast") & (dimension == "market"), F.upper(label))
         .when((mvpd == "Comcast") & (dimension == "hour"), F.concat(F.lit("Hour "), label))
-        .when((mvpd == "Spectrum") & (dimension == "date"), F.date_format(label.try_cast("date"), "d-MMM"))
+        .when((mvpd == "Spectrum") & (dimension == "date") & (F.dayofmonth(label.try_cast("date")) % 2 == 0), F.date_format(label.try_cast("date"), "d-MMM"))
         .when((mvpd == "Verizon") & (dimension == "day"), short_day)
         .otherwise(label)
     )
@@ -423,9 +459,23 @@ def reach_sums(t: Tables) -> DataFrame:
 
 
 def reach_file(sums: DataFrame) -> DataFrame:
-    """Reach reports of two providers: a Total segment row and one row per market segment."""
-    return sums.filter(F.col("mvpd").isin("Comcast", "Spectrum")).select(
-        F.concat_ws(" ", "brand", "mvpd", F.lit("reach.csv")).alias("file"),
+    """Reach reports of two providers, by file and line.
+
+    A file has a Total segment row and one row per market segment; one provider has a Sub Total further down, the
+    other a second file with a single row.
+    """
+    own = sums.filter(F.col("mvpd").isin("Comcast", "Spectrum"))
+    file = F.concat_ws(" ", "brand", "mvpd", F.lit("reach.csv")).alias("file")
+    is_total = F.col("segment") == "Total"
+    whole = own.select(file, F.when(is_total, 1).otherwise(2).cast("bigint").alias("line_no"), "segment", "hh", "n")
+    again = own.filter(is_total & (F.col("mvpd") == "Spectrum")).select(file, F.lit(3).cast("bigint").alias("line_no"), F.lit("Sub Total").alias("segment"), "hh", "n")
+    second = own.filter(is_total & (F.col("mvpd") == "Comcast")).select(
+        F.concat_ws(" ", "brand", "mvpd", F.lit("reach 2.csv")).alias("file"), F.lit(1).cast("bigint").alias("line_no"),
+        F.lit("West").alias("segment"), F.lit(1000).cast("bigint").alias("hh"), F.lit(5000).cast(own.schema["n"].dataType).alias("n"),
+    )
+    return whole.unionByName(again).unionByName(second).select(
+        "file",
+        "line_no",
         "segment",
         F.concat(F.lit("$"), comma_text(F.col("hh"))).alias("addressable_hh"),
         F.concat(F.lit("$"), comma_text(F.col("hh") * 2)).alias("hh_booked"),

@@ -69,9 +69,20 @@ def daypart(hour: Column, dayparts: str = "standard") -> Column:
     return chain
 
 
+_CLOCK = r"(?:^|\s)(\d{1,2}):([0-5]\d)(?::[0-5]\d)?(?:\s*([AaPp])\.?[Mm]\.?)?\s*$"
+
+
 def hour_of_label(label: Column) -> Column:
-    """'9:00 AM' -> 9; null when the text is no clock time."""
-    return F.hour(F.try_to_timestamp(label, F.lit("h:mm a")))
+    """The hour of the clock time a label ends with: '9:00 AM', '09:00 AM', 'Hour 21:00:00', '21:00'; null if there is
+    none, or no such time."""
+    hour = F.regexp_extract(label, _CLOCK, 1).try_cast("int")
+    half = F.lower(F.regexp_extract(label, _CLOCK, 3))
+    twelve = hour.between(1, 12)
+    return (
+        F.when(half == "", F.when(hour.between(0, 23), hour))
+        .when(half == "a", F.when(twelve, hour % 12))
+        .when(half == "p", F.when(twelve, hour % 12 + 12))
+    )
 
 
 def daypart_of_label(label: Column, dayparts: str = "standard", total: str = "Total") -> Column:
@@ -84,6 +95,15 @@ def time_on(text: Column, day: str = "2020-01-01", pattern: str = "HH:mm:ss") ->
     return F.try_to_timestamp(F.concat(F.lit(f"{day} "), text), F.lit(f"yyyy-MM-dd {pattern}"))
 
 
+def date_of_label(label: Column, year: int | None = None) -> Column:
+    """The date a label holds: written in full, or without a year, which then is ``year``; else null."""
+    text = F.trim(label)
+    full = F.to_date(text.try_cast("date"))
+    for pattern in ("d-MMM-yyyy", "M/d/yyyy"):
+        full = F.coalesce(full, F.to_date(F.try_to_timestamp(text, F.lit(pattern))))
+    return full if year is None else F.coalesce(full, date_without_year(text, year))
+
+
 def date_without_year(text: Column, year: int) -> Column:
     """'5-Jan' -> date in the given year; null when it does not parse."""
     return F.to_date(F.try_to_timestamp(F.concat(text, F.lit(f"-{year}")), F.lit("d-MMM-yyyy")))

@@ -5,17 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-AMOUNT = "decimal(18,2)"
+# Whole impressions are summed exactly; wide enough for any amount.
+AMOUNT = "decimal(30,6)"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
-def try_number(text: Column, to: str = AMOUNT) -> Column:
-    """Text to number; anything that does not parse becomes null instead of failing the job."""
-    return text.try_cast(to)
+def try_number(text: Column, to: str = "double") -> Column:
+    """Text to number; anything that is not one ('5d', 'n/a') becomes null instead of failing the job."""
+    return F.when(text.rlike(_NUMBER), text).try_cast(to)
 
 
-def parse_number(text: Column, to: str = AMOUNT) -> Column:
+def parse_number(text: Column, to: str = "double") -> Column:
     """Like ``try_number`` after removing thousands commas and dollar signs."""
-    return F.translate(text, ",$", "").try_cast(to)
+    return try_number(F.translate(text, ",$", ""), to)
+
+
+def quoted(name: str) -> str:
+    """A column name as it has to be written, whatever is in it."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def strip(text: Column) -> Column:

@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOTAL = "decimal(28,2)"
+from tallyloom.functions.text import quoted
+
+TOTAL = "decimal(38,6)"
 
 
 def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,8 +47,9 @@ def value_counts(df: DataFrame, column: str, n: int | None = None, name: str = "
 
 def count_non_null(df: DataFrame) -> DataFrame:
     """One row per column with its number of non-null values: one aggregate over the table."""
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
-    return counts.unpivot([], df.columns, "column_name", "non_null")
+    counts = df.agg(*[F.count(F.col(quoted(c))).alias(f"_{i}") for i, c in enumerate(df.columns)])
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("non_null")) for i, c in enumerate(df.columns)]
+    return counts.select(F.inline(F.array(*pairs)))
 
 
 def table_shape(df: DataFrame) -> DataFrame:

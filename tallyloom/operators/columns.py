@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.functions.text import quoted, try_number
+
 
 def select_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names)
 
 
 def select_by_position(df: DataFrame, *positions: int) -> DataFrame:
-    return df.select(*[df.columns[i] for i in positions])
+    return df.select(*[quoted(df.columns[i]) for i in positions])
 
 
 def columns_with(df: DataFrame, word: str, without: str | None = None) -> list[str]:
@@ -27,7 +29,7 @@ def columns_with(df: DataFrame, word: str, without: str | None = None) -> list[s
 
 
 def select_by_name_pattern(df: DataFrame, word: str, without: str | None = None) -> DataFrame:
-    return df.select(*columns_with(df, word, without))
+    return df.select(*[quoted(c) for c in columns_with(df, word, without)])
 
 
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -99,7 +101,6 @@ def infer_numeric_columns(df: DataFrame, names: Sequence[str] | None = None) ->
     ]
     if not texts:
         return df
-    bad = df.agg(
-        *[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()).alias(c) for c in texts]
-    ).first()
-    return df.withColumns({c: F.col(c).cast("double") for c in texts if bad[c] == 0})
+    number = {c: try_number(F.col(quoted(c))) for c in texts}
+    bad = df.agg(*[F.count_if(F.col(quoted(c)).isNotNull() & number[c].isNull()).alias(c) for c in texts]).first()
+    return df.select(*[number[c].alias(c) if c in number and bad[c] == 0 else F.col(quoted(c)) for c in df.columns])

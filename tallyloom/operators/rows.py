@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import contains_word
+from tallyloom.functions.text import contains_word, quoted
 from tallyloom.session import materialize
 
-# Up to here a slice is taken with a top-k, whose result one task holds.
-TOP_K_ROWS = 100_000
-
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -27,28 +24,31 @@ def drop_any_null(df: DataFrame, *columns: str) -> DataFrame:
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
     """Drop columns that are null in every row.  One aggregate; one row comes back to the driver."""
-    filled = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]).first()
+    filled = df.agg(*[F.count(F.col(quoted(c))).alias(c) for c in df.columns]).first()
     return df.drop(*[c for c in df.columns if filled[c] == 0])
 
 
+def ascending(*order: Column | str) -> list[Column]:
+    """Names as ascending order with nulls last, as everywhere here; columns are taken as they are."""
+    return [F.col(quoted(c)).asc_nulls_last() if isinstance(c, str) else c for c in order]
+
+
 def head_n(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
-    return df.orderBy(*order).limit(n)
+    return df.orderBy(*ascending(*order)).limit(n)
 
 
 def tail_n(df: DataFrame, n: int, *order: str) -> DataFrame:
     """The last n rows in the given ascending order (nulls last, as everywhere here)."""
-    return df.orderBy(*[F.col(c).desc_nulls_first() for c in order]).limit(n)
+    return df.orderBy(*[F.col(quoted(c)).desc_nulls_first() for c in order]).limit(n)
 
 
 def slice_rows(df: DataFrame, start: int, stop: int, *order: str) -> DataFrame:
-    """Rows start ... stop-1 in the given order.
+    """Rows start ... stop-1 in the given order, at any depth.
 
-    Near the top this is a top-k.  Further down, positions are worked out on all executors instead,
-    so that no task has to hold the rows before the slice.
+    Positions are worked out on all executors, so that no task has to hold the rows before the slice; ``head_n``
+    is the cheaper way to the first few rows.
     """
-    if stop <= TOP_K_ROWS:
-        return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).offset(start).limit(stop - start)
-    placed = with_position(df, *[F.col(c).asc_nulls_last() for c in order])
+    placed = with_position(df, *order)
     return placed.filter(F.col("position").between(start, stop - 1)).drop("position")
 
 
@@ -60,17 +60,18 @@ def drop_rows_by_label(df: DataFrame, key: str, *labels: object) -> DataFrame:
     return df.filter(~F.coalesce(F.col(key).isin(list(labels)), F.lit(False)))
 
 
-def with_position(df: DataFrame, *order: Column | str, name: str = "position", total: str | None = None) -> DataFrame:
+def with_position(df: DataFrame, *order: Column | str, name: str = "position", total: str | None = None, partitions: int | None = None) -> DataFrame:
     """Number all rows 0, 1, 2, ... in the given order without gathering them in one task.
-    ``total`` names a further column for the number of rows.
+    ``total`` names a further column for the number of rows; ``partitions`` sets into how many parts they are sorted.
 
     Rows are range-partitioned and sorted, each noting its place in its partition, and written.  The
     row counts per partition, at most one row each per shuffle partition, are then summed up and joined
     back as offsets.  The order should end in a unique column, which also keeps repeated values of the
     leading columns from ending up in one partition.
     """
+    order = ascending(*order)
     ranged = (
-        df.repartitionByRange(*order)
+        (df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order))
         .sortWithinPartitions(*order)
         .withColumn("_slot", F.monotonically_increasing_id())
     )
@@ -93,10 +94,11 @@ def with_position(df: DataFrame, *order: Column | str, name: str = "position", t
 def with_position_by(df: DataFrame, groups: list[str], *order: Column | str, name: str = "position") -> DataFrame:
     """Number rows within groups.  For report tables, whose groups have one row per feature; use
     ``with_position`` for tables of unknown size."""
-    place = F.row_number().over(Window.partitionBy(*groups).orderBy(*order)) - 1
+    place = F.row_number().over(Window.partitionBy(*groups).orderBy(*ascending(*order))) - 1
     return df.withColumn(name, place.cast("bigint"))
 
 
 def totals_last(df: DataFrame, label: str, *groups: str, total: str = "Total") -> DataFrame:
     """Sort by label with the total rows behind all others."""
-    return df.orderBy(*groups, F.col(label) == total, label)
+    is_total = F.coalesce(F.col(quoted(label)) == total, F.lit(False))
+    return df.orderBy(*ascending(*groups, is_total, label))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar as cal
-from tallyloom.functions.text import last_n, parse_number, split_first, split_into, try_number
+from tallyloom.functions.text import AMOUNT, parse_number, split_first, try_number
 from tallyloom.operators.aggregates import group_sum
 from tallyloom.operators.joins import UNASSIGNED, literal_lookup
 from tallyloom.operators.reshape import stack_column_groups
@@ -29,21 +29,20 @@ class Provider:
 
     name: str
     roles: tuple[tuple[str, str], ...]
-    year: int | None = None  # set when the dates come without a year, as '5-Jan'
 
     def has(self, role: str) -> bool:
         return any(r == role for r, _ in self.roles)
 
 
+# Words of each provider's sheet names.
 PROVIDERS = (
     Provider(
         "Comcast",
-        (("Summary", "summary"), ("Network", "net"), ("Market", "geo|market|dma"), ("Week", "week"), ("Hour", "hour"), ("Day", "day")),
+        (("Summary", "summary"), ("Network", "net"), ("Market", "geo|market|dma"), ("Day", "day of week|dow"), ("Hour", "hour"), ("Week", "week"), ("Day", "day")),
     ),
     Provider(
         "Spectrum",
         (("Date", "daily|date"), ("Market", "geo|market|dma"), ("Network", "net"), ("Daypart", "daypart"), ("Day", "day of week")),
-        year=2024,
     ),
     Provider("Cox", (("Date", "daily|date"), ("Market", "geo|market|dma"), ("Network", "net"), ("Hour", "hour"))),
     Provider(
@@ -74,7 +73,7 @@ def long_cuts(
     rows = long.select(
         feature.alias("feature_value"),
         F.lit(brand).alias("brand"),
-        parse_number(F.col("impressions_text")).alias("impressions"),
+        parse_number(F.col("impressions_text"), AMOUNT).alias("impressions"),
         F.lit(mvpd).alias("mvpd"),
         data_type.alias("data_type"),
     )
@@ -107,37 +106,56 @@ def map_features(rows: DataFrame, net_map: DataFrame, dma_map: DataFrame, fold_m
     return group_sum(named, FACT[:2] + FACT[3:]).select(*FACT)
 
 
-def sheet_records(lines: DataFrame, providers: Sequence[Provider] = PROVIDERS) -> DataFrame:
-    """Lines of all workbooks to sums per (brand, mvpd, role, label).
+def brand_of(file: Column, mvpd: Column, brand: str | None = None) -> Column:
+    """The given brand, or what a workbook's name has in front of its provider's: 'Acme Motors Cox report' -> 'Acme Motors'."""
+    if brand is not None:
+        return F.lit(brand)
+    return F.trim(F.substring(file, F.lit(1), F.instr(F.lower(file), F.lower(mvpd)) - 1))
 
-    The workbook name 'Brand Provider ...' gives brand and provider, the sheet name the role, and the
-    header the impressions column; every provider goes through the same single pass.
-    """
+
+def provider_sheets(lines: DataFrame, providers: Sequence[Provider] = PROVIDERS) -> DataFrame:
+    """(file, sheet, mvpd, role): per workbook the first sheet of each role, in workbook order."""
     words = {p.name.lower(): p.name for p in providers}
-    tagged = lines.withColumn("mvpd", sh.classify_file(F.col("file"), words, exclude=["reach"]))
+    sheets = sh.list_sheets(lines).withColumn("mvpd", sh.classify_file(F.col("file"), words, exclude=["reach"]))
     role = F.lit(None).cast("string")
     for p in providers:
         role = F.when(F.col("mvpd") == p.name, sh.sheet_role(F.col("sheet"), p.roles)).otherwise(role)
-    tagged = tagged.withColumn("role", role).filter(F.col("role").isNotNull())
+    place = F.struct(F.col("position").isNull(), "position", "sheet")
+    fits = sheets.withColumn("role", role).filter("role is not null")
+    return materialize(fits.groupBy("file", "mvpd", "role").agg(F.min_by("sheet", place).alias("sheet")), "roles")
+
+
+def sheet_records(lines: DataFrame, providers: Sequence[Provider] = PROVIDERS, brand: str | None = None) -> DataFrame:
+    """Lines of all workbooks to sums per (brand, mvpd, role, label).
+
+    The workbook name 'Brand Provider ...' gives provider and, if none is given, brand; the sheet name gives the
+    role, of which each workbook's first sheet counts, and the header the impressions column; every provider goes
+    through the same single pass.
+    """
+    tagged = lines.join(provider_sheets(lines, providers), ["file", "sheet"])
     records = sh.clean_records(sh.promote_header(tagged)).select(
-        split_into(F.col("file"), " ", 3)[0].alias("brand"),
+        brand_of(F.col("file"), F.col("mvpd"), brand).alias("brand"),
         "mvpd",
         "role",
         sh.cell_at(0).alias("label"),
-        try_number(sh.measure_cell()).alias("impressions"),
+        try_number(sh.measure_cell(), AMOUNT).alias("impressions"),
     )
     return group_sum(records, ["brand", "mvpd", "role", "label"])
 
 
-def daily_rows(records: DataFrame, providers: Sequence[Provider] = PROVIDERS, role: str = "Date") -> DataFrame:
-    """Records of the date (or week) sheets with a real date."""
-    date = F.to_date(F.col("label").try_cast("date"))
-    for p in providers:
-        if p.year:
-            date = F.when(F.col("mvpd") == p.name, cal.date_without_year(F.col("label"), p.year)).otherwise(date)
+def daily_rows(records: DataFrame, year: int | None = None, role: str = "Date") -> DataFrame:
+    """Records of the date (or week) sheets by date; ``year`` completes dates that come without one."""
+    date = cal.date_of_label(F.col("label"), year)
     return records.filter(F.col("role") == role).select("brand", "mvpd", date.alias("event_date"), "impressions")
 
 
+def unparsed_labels(records: DataFrame, year: int | None = None) -> DataFrame:
+    """Records of hour, date and week sheets whose label is no time or date, so that they are in no cut."""
+    role, label = F.col("role"), F.col("label")
+    lost = (role == "Hour") & cal.hour_of_label(label).isNull() | role.isin("Date", "Week") & cal.date_of_label(label, year).isNull()
+    return records.filter(lost)
+
+
 def sheet_cuts(
     lines: DataFrame,
     net_map: DataFrame,
@@ -145,9 +163,11 @@ def sheet_cuts(
     providers: Sequence[Provider] = PROVIDERS,
     dayparts: str = "standard",
     anchor: str | None = ANCHOR,
+    year: int | None = None,
+    brand: str | None = None,
 ) -> DataFrame:
     """All cuts of all providers from their sheet sets."""
-    return provider_cuts(sheet_records(lines, providers), net_map, dma_map, providers, dayparts, anchor)
+    return provider_cuts(sheet_records(lines, providers, brand), net_map, dma_map, providers, dayparts, anchor, year)
 
 
 def provider_cuts(
@@ -157,6 +177,7 @@ def provider_cuts(
     providers: Sequence[Provider] = PROVIDERS,
     dayparts: str = "standard",
     anchor: str | None = ANCHOR,
+    year: int | None = None,
 ) -> DataFrame:
     """All cuts from sums per (brand, mvpd, role, label).
 
@@ -170,7 +191,7 @@ def provider_cuts(
     long_day = F.coalesce(_from_literals(cal.DAY_ABBREVIATIONS, label), label)
     role = F.col("role")
     feature = (
-        F.when(role == "Hour", cal.daypart(F.hour(cal.time_on(last_n(label, 8))), dayparts))
+        F.when(role == "Hour", cal.daypart(cal.hour_of_label(label), dayparts))
         .when(role == "Daypart", _from_literals(aliases, label))
         .when(role == "Day", long_day)
         .when(role == "Summary", "Total")
@@ -182,8 +203,8 @@ def provider_cuts(
     def without(sheet: str) -> Column:
         return F.col("mvpd").isin([p.name for p in providers if not p.has(sheet)])
 
-    daily = group_sum(daily_rows(records, providers), ["brand", "mvpd", "event_date"])
-    weeks = daily_rows(records, providers, role="Week")
+    daily = group_sum(daily_rows(records, year), ["brand", "mvpd", "event_date"])
+    weeks = daily_rows(records, year, role="Week")
     spans = provider_spans(daily.filter(without("Week"))).unionByName(provider_spans(weeks, days=7))
     placed = with_week(daily, week_anchor(spans, anchor))
     cuts = cuts_of(
@@ -202,7 +223,7 @@ def provider_cuts(
 def wide_hour_dayparts(wide: DataFrame, brand: str, mvpd: str) -> DataFrame:
     """The custom daypart cut of a provider that reports Daypart, Start, End, Impressions side by side."""
     words = ["Daypart", "Start", "End", "Impressions"]
-    long = stack_column_groups(wide, [], words).withColumn("impressions", try_number(F.col("Impressions")))
+    long = stack_column_groups(wide, [], words).withColumn("impressions", try_number(F.col("Impressions"), AMOUNT))
     sums = group_sum(long, words[:3])
     named = literal_lookup(sums, cal.CUSTOM_DAYPART_CODES, "Daypart", "feature_value")
     constants = {"brand": F.lit(brand), "mvpd": F.lit(mvpd), "data_type": F.lit("Daypart")}

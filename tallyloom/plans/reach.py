@@ -5,50 +5,61 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import contains_word, parse_number
-from tallyloom.operators.aggregates import TOTAL, group_sum
+from tallyloom.functions.text import AMOUNT, contains_word, parse_number, quoted
+from tallyloom.operators.aggregates import group_sum
 from tallyloom.operators.columns import columns_with, ratio, row_sum
 from tallyloom.operators.reshape import union_by_name
 from tallyloom.operators.totals import append_total_row
-from tallyloom.sources.sheets import classify_file
+from tallyloom.plans.providers import brand_of
+from tallyloom.sources.sheets import cell_named, classify_file, clean_records, promote_header
 
 REACH_TYPE = "Reach and Frequency"
 
 
-def read_reach(rows: DataFrame, providers: list[str]) -> DataFrame:
+def read_reach(rows: DataFrame, providers: list[str], brand: str | None = None, line: str = "line_no") -> DataFrame:
     """Reach reports to one row per brand and provider: impressions and reached households.
 
     Household columns contain 'hh' but not 'book', impressions columns 'impression' and 'deliver' (or
-    are named 'imp').  Only Total segments count, unless the report has a single row.
+    are named 'imp').  Of each file the first Total segment counts, in the order of ``line``, or its only row; the
+    files of a brand and provider then add up.  A file with several segments and no Total counts as nothing.
     """
     households = columns_with(rows, "hh", without="book")
     amounts = [c for c in columns_with(rows, "impression") if "deliver" in c.lower()]
     amounts += [c for c in rows.columns if c.lower() == "imp"]
     words = {p.lower(): p for p in providers}
+    mvpd = classify_file(F.col("file"), words)
     clean = rows.select(
-        F.split("file", " ")[0].alias("brand"),
-        classify_file(F.col("file"), words).alias("mvpd"),
+        F.col("file").alias("_file"),
+        F.col(line).alias("_line"),
+        brand_of(F.col("file"), mvpd, brand).alias("brand"),
+        mvpd.alias("mvpd"),
         contains_word(F.col("segment"), "Total").alias("is_total"),
-        row_sum(*[parse_number(F.col(c)) for c in households]).alias("reach"),
-        row_sum(*[parse_number(F.col(c)) for c in amounts]).alias("impressions"),
+        row_sum(*[parse_number(F.col(quoted(c)), AMOUNT) for c in households]).alias("reach"),
+        row_sum(*[parse_number(F.col(quoted(c)), AMOUNT) for c in amounts]).alias("impressions"),
     )
+    first_total = F.min(F.when(F.col("is_total"), F.col("_line")))
+    chosen = clean.groupBy("_file").agg(F.coalesce(first_total, F.when(F.count("*") == 1, F.min("_line"))).alias("_line"))
+    return group_sum(clean.join(chosen, ["_file", "_line"]), ["brand", "mvpd"], "impressions", "reach")
 
-    def counted(c: str):
-        of_totals = F.sum(F.when(F.col("is_total"), F.col(c)))
-        return F.when(F.count("*") == 1, F.sum(c)).otherwise(of_totals).cast(TOTAL).alias(c)
 
-    return clean.groupBy("brand", "mvpd").agg(counted("impressions"), counted("reach"))
+def read_reach_sheets(lines: DataFrame, sheet: str, provider: str, columns: list[str], brand: str | None = None) -> DataFrame:
+    """One provider's reach sheets of a sheet set: brand, mvpd and the named columns, total rows left out."""
+    file = F.col("file")
+    own = lines.filter((F.col("sheet") == sheet) & F.coalesce(classify_file(file, {provider.lower(): provider}).isNotNull(), F.lit(False)))
+    records = clean_records(promote_header(own))
+    picked = [cell_named(c).alias(c) for c in columns]
+    return records.select(brand_of(file, F.lit(provider), brand).alias("brand"), F.lit(provider).alias("mvpd"), *picked)
 
 
 def reach_from_frequency(rows: DataFrame, households: str, frequency: str) -> DataFrame:
     """Reach of a provider that reports households and frequency: impressions are their product."""
-    hh, times = parse_number(F.col(households)), parse_number(F.col(frequency))
-    return _summed(rows, hh * times, hh)
+    hh, times = parse_number(F.col(households), "decimal(18,0)"), parse_number(F.col(frequency), "decimal(18,6)")
+    return _summed(rows, (hh * times).cast(AMOUNT), hh.cast(AMOUNT))
 
 
 def reach_from_summary(rows: DataFrame, impressions: str, households: str) -> DataFrame:
     """Reach of a provider that reports impressions and households in its order summary."""
-    return _summed(rows, parse_number(F.col(impressions)), parse_number(F.col(households)))
+    return _summed(rows, parse_number(F.col(impressions), AMOUNT), parse_number(F.col(households), AMOUNT))
 
 
 def reach_from_campaigns(long: DataFrame, brand: str, mvpd: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar as cal
-from tallyloom.functions.text import parse_number
+from tallyloom.functions.text import AMOUNT, parse_number
 from tallyloom.operators.aggregates import global_sum, sum_complete
 from tallyloom.operators.columns import row_sum
 from tallyloom.operators.joins import combine_scalars, merge_inner
@@ -15,7 +15,7 @@ from tallyloom.operators.joins import combine_scalars, merge_inner
 def merge_sources(a: DataFrame, b: DataFrame, c: DataFrame, c_label: str) -> DataFrame:
     """Join three (display_by, impressions_text) sheets by label; the total is null if any part is."""
     merged = merge_inner(merge_inner(a, b, "display_by"), c, "display_by", c_label)
-    parts = [parse_number(F.col(x)) for x in ("impressions_text_x", "impressions_text_y", "impressions_text")]
+    parts = [parse_number(F.col(x), AMOUNT) for x in ("impressions_text_x", "impressions_text_y", "impressions_text")]
     return merged.select("display_by", row_sum(*parts).alias("total_impressions"))
 
 
@@ -40,9 +40,9 @@ def daypart_impressions(hour_a: DataFrame, hour_b: DataFrame, hour_c: DataFrame,
 def total_reach(reach_1: DataFrame, summary_2: DataFrame, dayparts: DataFrame) -> DataFrame:
     """The Total row of the daypart table with the reach of both sources next to it."""
     first = global_sum(
-        reach_1.select(row_sum(*[parse_number(F.col(c)) for c in reach_1.columns]).alias("_reach_1")), "_reach_1"
+        reach_1.select(row_sum(*[parse_number(F.col(c), AMOUNT) for c in reach_1.columns]).alias("_reach_1")), "_reach_1"
     )
-    second = global_sum(summary_2.select(parse_number(F.col("reach")).alias("_reach_2")), "_reach_2")
+    second = global_sum(summary_2.select(parse_number(F.col("reach"), AMOUNT).alias("_reach_2")), "_reach_2")
     reach = combine_scalars(first, second).select(
         F.lit("Total").alias("cut"), (F.col("_reach_1") + F.col("_reach_2")).alias("total_reach")
     )

@@ -1,7 +1,7 @@
 """Sheet sets: workbooks as folders of CSV sheets, ``root/workbook/sheet.csv``.
 
-All sheets of all workbooks are one scan.  A sheet is kept as lines of text cells until its header is
-known, so ragged and differently named sheets need no pass of their own.
+All sheets of all workbooks are one scan.  A sheet is kept as numbered lines of text cells, as many as each line has,
+until its header is known, so ragged and differently named sheets need no pass of their own.
 """
 
 from __future__ import annotations
@@ -13,61 +13,50 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import contains_word
 from tallyloom.session import materialize
-from tallyloom.sources.tables import path_name
+from tallyloom.sources.tables import csv_cells, path_name
 
+# A line number takes the lower bits where it is packed with a count of cells.
+_LINE_BITS = 40
 
-def read_sheet_set(spark: SparkSession, root: str, width: int = 8) -> DataFrame:
-    """Lines of every sheet: file, sheet, place and the text cells c0, c1, ...
-
-    ``place`` orders the lines of a sheet: data file, block of the file, line in the scan.  It comes
-    with the scan itself, so nothing is sorted or shuffled to get it.
-    """
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    lines = spark.read.schema(schema).option("recursiveFileLookup", True).csv(root)
-    path = F.col("_metadata.file_path")
-    return lines.select(
-        path_name(path, 2).alias("file"),
-        path_name(path, 1).alias("sheet"),
-        F.struct(
-            path.alias("path"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-        ).alias("place"),
-        *[f"c{i}" for i in range(width)],
-    )
-
-
-def cell_columns(lines: DataFrame) -> list[str]:
-    return [c for c in lines.columns if c[0] == "c" and c[1:].isdigit()]
 
+def read_sheet_set(spark: SparkSession, root: str) -> DataFrame:
+    """Lines of every sheet: file, sheet, position, line_no and the array of its text cells.
 
-def with_line_number(lines: DataFrame) -> DataFrame:
-    """Number the lines of each sheet 0, 1, 2, ... from the line counts of the file blocks.
-
-    Only the counts are ordered; the lines themselves stay where they were read, as long as the counts
-    (written first, so that their size is known) are small enough to broadcast.
+    ``position`` is the sheet's place in its workbook, from a name such as '2. Week', whose sheet is 'Week'; null
+    without a number.  ``line_no`` counts 0, 1, 2, ... in each sheet, blank lines left out.  The scan is written
+    once, with each line's block and place in it; numbers come from the blocks' counts of that one table, so they
+    do not depend on how any later scan splits the files.
     """
-    path, block, line = (F.col(f"place.{c}") for c in ("path", "block", "line"))
-    blocks = lines.groupBy("file", "sheet", path.alias("_path"), block.alias("_block")).agg(
-        F.min(line).alias("_first"), F.count("*").alias("_lines")
-    )
-    before = Window.partitionBy("file", "sheet").orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(
-        "_path", "_block", "_first", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_before")
+    path = F.col("_metadata.file_path")
+    scan = spark.read.option("recursiveFileLookup", True).text(root).select(
+        path.alias("_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+        F.ltrim(F.col("value"), F.lit("\ufeff")).alias("value"),
     )
-    starts = materialize(starts, "line_starts")
-    joined = lines.join(starts, (path == F.col("_path")) & (block == F.col("_block")))
-    number = F.col("_before") + line - F.col("_first")
-    return joined.withColumn("line_no", number).drop("_path", "_block", "_first", "_before")
+    name = path_name(F.col("_path"), 1)
+    numbered = F.regexp_extract(name, r"^(\d+)\. (.+)$", 1)
+    lines = materialize(scan.filter("value <> ''").select(
+        path_name(F.col("_path"), 2).alias("file"),
+        F.when(numbered == "", name).otherwise(F.regexp_extract(name, r"^(\d+)\. (.+)$", 2)).alias("sheet"),
+        numbered.try_cast("int").alias("position"),
+        "_path", "_block", "_line",
+        csv_cells(F.col("value")).alias("cells"),
+    ), "sheet_lines")
+    blocks = lines.groupBy("file", "sheet", "position", "_path", "_block").agg(F.min("_line").alias("_first"), F.count("*").alias("_lines"))
+    before = Window.partitionBy("file", "sheet", "position").orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("_path", "_block", (F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    placed = lines.join(materialize(starts, "line_starts"), ["_path", "_block"])
+    return placed.select("file", "sheet", "position", (F.col("_line") + F.col("_shift")).alias("line_no"), "cells")
 
 
 def list_sheets(lines: DataFrame) -> DataFrame:
-    return lines.select("file", "sheet").distinct()
+    return lines.select("file", "sheet", "position").distinct()
 
 
 def skip_rows(lines: DataFrame, n: int) -> DataFrame:
     """Leave out the first n lines of every sheet."""
-    return with_line_number(lines).filter(F.col("line_no") >= n).drop("line_no")
+    return lines.filter(F.col("line_no") >= n)
 
 
 def classify_file(name: Column, words: dict[str, str], exclude: Sequence[str] = (), temp_marks: Sequence[str] = ("~$",)) -> Column:
@@ -91,46 +80,44 @@ def sheet_role(name: Column, rules: Sequence[tuple[str, str]], precedence: str =
     return role
 
 
-def first_sheet_per_role(sheets: DataFrame, rules: Sequence[tuple[str, str]], position: str = "sheet") -> DataFrame:
-    """For each workbook and role, the first sheet whose name fits; one sheet may serve several roles."""
+def first_sheet_per_role(sheets: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """For each workbook and role, the first sheet in workbook order whose name fits; one sheet may serve several
+    roles.  Sheets without a position follow the others, by name."""
     fits = F.array(*[F.when(F.lower("sheet").rlike(p), F.lit(r)) for r, p in rules])
-    roles = sheets.select("file", "sheet", position, F.explode(F.array_compact(fits)).alias("role"))
-    return roles.groupBy("file", "role").agg(F.min_by("sheet", position).alias("sheet"))
+    roles = sheets.select("file", "sheet", "position", F.explode(F.array_compact(fits)).alias("role"))
+    place = F.struct(F.col("position").isNull(), "position", "sheet")
+    return roles.groupBy("file", "role").agg(F.min_by("sheet", place).alias("sheet"))
 
 
 def sheet_headers(lines: DataFrame, label: str = "Total") -> DataFrame:
-    """Per sheet its header and the columns in use, all from one aggregate over the lines.
+    """Per sheet the line of its header, the header's cells, and which columns are in use.
 
-    The header is the first of the fullest lines.  A column is in use if any line below the header,
-    other than a total row, has a value in it.
+    The header is the first of the fullest lines.  A column is in use if any line below the header, other than a
+    total row, has a value in it.  Both come from hash aggregates over packed numbers (a sheet has fewer than 2 ** 40
+    lines, a line fewer than 2 ** 20 cells); only the header lines themselves are fetched.
     """
-    cells = cell_columns(lines)
-    row = F.array(*cells)
-    gaps = F.size(F.filter(row, lambda c: c.isNull()))
-    data = ~contains_word(F.col(cells[0]), label)
-    last = [F.max(F.when(data & F.col(c).isNotNull(), F.col("place"))).alias(f"_last_{c}") for c in cells]
-    best = F.min(F.struct(gaps.alias("gaps"), "place", row.alias("cells"))).alias("best")
-    found = lines.groupBy("file", "sheet").agg(best, *last)
-    return found.select(
-        "file",
-        "sheet",
-        F.col("best.place").alias("header_place"),
-        F.transform("best.cells", lambda c: F.trim(c)).alias("header"),
-        F.array(*[F.coalesce(F.col(f"_last_{c}") > F.col("best.place"), F.lit(False)) for c in cells]).alias("used"),
-    )
+    filled = F.size(F.filter("cells", lambda c: c.isNotNull())).cast("bigint")
+    rank = F.shiftleft(F.lit(1 << 20) - filled, _LINE_BITS) + F.col("line_no")
+    at = lines.groupBy("file", "sheet").agg(F.min(rank).bitwiseAND(F.lit((1 << _LINE_BITS) - 1)).alias("header_line"))
+    at = materialize(at, "header_lines")
+    header = lines.join(at, ["file", "sheet"]).filter("line_no = header_line")
+    header = header.select("file", "sheet", "header_line", F.transform("cells", lambda c: F.trim(c)).alias("header"))
+    data = lines.filter(~contains_word(F.get("cells", F.lit(0)), label)).select("file", "sheet", "line_no", F.posexplode("cells").alias("column", "cell"))
+    last = data.filter("cell is not null").groupBy("file", "sheet", "column").agg(F.max("line_no").alias("last"))
+    used = last.join(at, ["file", "sheet"]).filter("last > header_line").groupBy("file", "sheet").agg(F.sort_array(F.collect_list("column")).alias("used"))
+    return header.join(used, ["file", "sheet"], "left").withColumn("used", F.coalesce("used", F.array().cast("array<int>")))
 
 
 def promote_header(lines: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
-    """Lines below the header of their sheet, as an array of cells with the header's names attached.
+    """Lines below the header of their sheet, with its cells as ``header``.
 
     With names, those columns are picked out of the cells by header name, absent ones being null.
     """
     found = materialize(sheet_headers(lines), "headers")
-    below = lines.join(found, ["file", "sheet"]).filter(F.col("place") > F.col("header_place"))
-    below = below.withColumn("cells", F.array(*cell_columns(lines))).drop("header_place", *cell_columns(lines))
+    below = lines.join(found, ["file", "sheet"]).filter(F.col("line_no") > F.col("header_line")).drop("header_line")
     if names is None:
         return below
-    return below.select("file", "sheet", "place", *[cell_named(n).alias(n) for n in names])
+    return below.select("file", "sheet", "line_no", *[cell_named(n).alias(n) for n in names])
 
 
 def cell_at(index: int) -> Column:
@@ -162,7 +149,5 @@ def measure_cell() -> Column:
 
 def clean_records(records: DataFrame, label: str = "Total") -> DataFrame:
     """Drop total rows, then rows with a gap in any column that their sheet uses."""
-    complete = F.forall(
-        F.arrays_zip("cells", "used"), lambda c: ~c["used"] | c["cells"].isNotNull()
-    )
+    complete = F.forall("used", lambda i: F.get("cells", i).isNotNull())
     return records.filter(~contains_word(cell_at(0), label) & complete).drop("used")

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.functions.text import quoted
+from tallyloom.session import materialize
+
 
 def read_csv(
     spark: SparkSession,
@@ -17,21 +20,55 @@ def read_csv(
     columns: Sequence[str] | None = None,
     sep: str = ",",
 ) -> DataFrame:
-    """A CSV table with a header line.  Columns that are not asked for are not parsed."""
-    reader = spark.read.schema(schema).option("header", True).option("sep", sep)
+    """A CSV table with a header line, whose columns are found by the header's names, in any order.
+
+    Columns of the file that the schema lacks are not read; columns that the file lacks raise.  Only the header is
+    looked at before the scan.  Columns that are not asked for are not parsed.
+    """
+    reader = spark.read.option("header", True).option("sep", sep)
     if encoding:
         reader = reader.option("encoding", encoding)
-    df = reader.csv(path)
-    return df.select(*columns) if columns else df
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    in_file = [n.strip() for n in reader.csv(path).columns]
+    types = {f.name: f.dataType for f in wanted.fields}
+    if absent := [n for n in types if n not in in_file]:
+        raise ValueError(f"{path} has no columns {absent}")
+    df = reader.schema(T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in in_file])).csv(path)
+    return df.select(*[quoted(n) for n in columns or wanted.names])
 
 
-def read_many_csv(spark: SparkSession, folder: str, schema: str | T.StructType, name: str = "source") -> DataFrame:
+def read_many_csv(
+    spark: SparkSession, folder: str, schema: str | T.StructType, name: str = "source", pattern: str = "*.csv"
+) -> DataFrame:
     """All CSV tables of a folder in one scan, each row naming its table.
 
-    A table is a file ``folder/x.csv`` or a directory of part files ``folder/x``.
+    A table is a file ``folder/x.csv`` or a directory of part files ``folder/x``; files whose name does not fit the
+    pattern are left alone.  Each file's columns are found by its own header line: lines are read as cells, and those
+    headers, one row a file, are written and joined.  A column that a file lacks is null.
     """
-    df = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True).csv(folder)
-    return df.withColumn(name, path_name(F.col("_metadata.file_path"), 1))
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    path = F.col("_metadata.file_path")
+    lines = reader.text(folder).select(path.alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"), "value")
+    lines = materialize(lines.filter("value <> ''"), "csv_lines")
+    first = lines.filter("_block = 0").groupBy("_path").agg(F.min("_line").alias("_line"))
+    headers = lines.join(first, ["_path", "_line"]).select("_path", F.col("_line").alias("_top"), F.transform(csv_cells(F.col("value")), lambda c: F.trim(c)).alias("_names"))
+    rows = lines.join(materialize(headers, "csv_headers"), "_path").filter((F.col("_block") > 0) | (F.col("_line") > F.col("_top")))
+    rows = rows.withColumn("_cells", csv_cells(F.col("value")))
+    cells = [F.get("_cells", F.array_position("_names", F.lit(f.name)).cast("int") - 1).try_cast(f.dataType).alias(f.name) for f in wanted.fields]
+    return rows.select(*cells, path_name(F.col("_path"), 1).alias(name))
+
+
+def csv_cells(line: Column) -> Column:
+    """The cells of a CSV line: quotes removed, an empty cell is null, an empty quoted one an empty text."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"\\]|\\.|"")*"|[^,]*)'), F.lit(1))
+
+    def cell(c: Column) -> Column:
+        is_quoted = c.startswith('"') & c.endswith('"') & (F.length(c) > 1)
+        inner = F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), r'\\"|""', '"')
+        return F.when(c == "", None).when(is_quoted, inner).otherwise(c)
+
+    return F.transform(raw, cell)
 
 
 def path_name(path: Column, level: int) -> Column:

@@ -1,5 +1,6 @@
 """Jobs on literal rows, and properties that hold for any input."""
 
+import pytest
 from decimal import Decimal
 
 from conftest import rows
@@ -93,11 +94,28 @@ def test_stacked_groups(frame):
     assert got == [(1, "DA", "5"), (2, "ON", "6"), (2, "PR", "7")]
 
 
+def test_uneven_groups_raise(frame):
+    for names in ("`Daypart 1` string, `Daypart 2` string, `Daypart 3` string, `Imps 1` string, `Imps 2` string", "`Daypart a` string, `Imps` string, `Start b` string, `Start c` string"):
+        with pytest.raises(ValueError):
+            reshape.stack_column_groups(frame(names), [], ["Daypart", "Start", "Imps"])
+    surplus = frame("`Imps all` string, `Daypart a` string, `Imps a` string", ("9", "DA", "5"))
+    assert rows(reshape.stack_column_groups(surplus, [], ["Daypart", "Imps"])) == [("DA", "5")]
+
+
+def test_the_first_total_of_each_file_counts(frame):
+    report = frame(
+        "file string, line_no bigint, segment string, `Target.HH` string, `Imp` string",
+        ("A B Cox reach", 0, "Sub Total", "30", "300"), ("A B Cox reach", 1, "Grand Total", "60", "600"),
+        ("A B Cox reach 2", 0, "x", "1", "10"), ("A B Cox reach 3", 0, "x", "5", "5"), ("A B Cox reach 3", 1, "y", "5", "5"),
+    )
+    assert [(b, float(i), float(r)) for b, _, i, r in rows(reach.read_reach(report, ["Cox"]))] == [("A B", 310.0, 31.0)]
+
+
 def test_reach_counts_total_segments_or_the_only_row(frame):
     report = frame(
-        "file string, segment string, `Target HH` string, `HH booked` string, `Delivered Impressions` string",
-        ("b Cox reach", "East", "1", "9", "10"), ("b Cox reach", "Grand Total", "$1,000", "9", "2,500"),
-        ("b Spectrum reach", "Only one", "10", "9", "33"),
+        "file string, line_no bigint, segment string, `Target HH` string, `HH booked` string, `Delivered Impressions` string",
+        ("b Cox reach", 0, "East", "1", "9", "10"), ("b Cox reach", 1, "Grand Total", "$1,000", "9", "2,500"),
+        ("b Spectrum reach", 0, "Only one", "10", "9", "33"),
     )
     got = rows(reach.reach_frequency(reach.read_reach(report, ["Cox", "Spectrum"])).select("mvpd", "metric_type", "metric"), "mvpd", "metric_type")
     assert got == [
@@ -174,3 +192,11 @@ def test_merge_suffixes(frame):
 
 def test_scalars_side_by_side(frame):
     assert rows(joins.combine_scalars(frame("a int", (1,)), frame("b string", ("x",)))) == [(1, "x")]
+
+
+def test_nets_score_every_test_row_and_learn(frame):
+    from tallyloom.plans import learning
+
+    df = frame("id int, eyes double, face_forward double, chin_up double, attention double", *[(i, i / 400, i % 5 / 5, 0.5, float(i > 200)) for i in range(400)])
+    scored = learning.net_predictions(df, "id", hidden=(2,)).collect()
+    assert len(scored) == 100 and sum(r["attention"] == r["prediction"] for r in scored) > 85

