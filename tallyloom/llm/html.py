@@ -36,6 +36,7 @@ ASIDE_WORDS = {
     "pager", "skip", "copyright", "legal", "search", "form",
 }
 MAIN_WORDS = {"article", "post", "entry", "content", "story", "main", "body", "text"}
+ITEMS = {"p", "li", "tr", "td", "th", "dt", "dd", "option", "blockquote", "pre", "figure"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -207,10 +208,13 @@ def align(xs: list[Node], ys: list[Node]) -> list[Node]:
 
 
 def fold(kids: list[Node], longest: int = 4) -> list[Node]:
-    """Neighbours of one label, then neighbouring equal sequences of labels, become repeated groups."""
+    """Neighbours of one label, then neighbouring equal sequences of labels, become repeated groups.
+
+    Containers such as ``div`` stand for anything; they repeat only if they are built alike.
+    """
     out: list[Node] = []
     for k in kids:
-        if out and out[-1].label == k.label and k.label != "T":
+        if out and out[-1].label == k.label and k.label != "T" and (k.label.split(".")[0] in ITEMS or out[-1].shape() == k.shape()):
             pages = out[-1].pages
             merge(out[-1], k)
             out[-1].repeated, out[-1].pages = True, max(pages, k.pages)
@@ -220,7 +224,7 @@ def fold(kids: list[Node], longest: int = 4) -> list[Node]:
         i = 0
         while i + 2 * n <= len(out):
             names = [k.label for k in out[i:i + n]]
-            if names == [k.label for k in out[i + n:i + 2 * n]]:
+            if len(set(names)) > 1 and names == [k.label for k in out[i + n:i + 2 * n]]:
                 group = Node("(" + " ".join(names) + ")", out[i:i + n], repeated=True)
                 del out[i + 1:i + n]
                 out[i] = group
