@@ -8,7 +8,7 @@ from tallyloom.functions.text import comma_text
 from tallyloom.operators.aggregates import group_sum
 from tallyloom.operators.reshape import union_by_name
 from tallyloom.operators.totals import cuts_of
-from tallyloom.plans import comingle, graph, learning, levels, providers, reach, sources_merge, weekly
+from tallyloom.plans import graph, learning, levels, providers, reach, report, sources_merge, weekly
 from tallyloom.session import materialize
 from tallyloom.sources import sheets as sh
 
@@ -90,15 +90,13 @@ def _(t):
 
 
 @query("job_provider_long_cuts", """
-SELECT feature_value, 'BrandA' AS brand, coalesce(sum(imp), 0)::DOUBLE AS impressions, 'Comcast' AS mvpd, data_type FROM (
-  SELECT network AS feature_value, imp, 'Network' AS data_type FROM mapped UNION ALL SELECT market, imp, 'Market' FROM mapped
-  UNION ALL SELECT day, imp, 'Day' FROM mapped UNION ALL SELECT daypart, imp, 'Daypart' FROM mapped
-  UNION ALL SELECT strftime(date_trunc('week', event_date), '%Y-%m-%d'), imp, 'Week' FROM mapped
-  UNION ALL SELECT 'Total', imp, 'Summary' FROM mapped) GROUP BY feature_value, data_type""")
+SELECT feature_value, brand, imp::DOUBLE AS impressions, 'Comcast' AS mvpd, data_type FROM tagged_fact""")
 def _(t):
     return as_double(providers.long_cuts(fx.dimension_long(t), fx.net_map(t), fx.dma_map(t), "BrandA", "Comcast"))
 
 
+AGENCY = "Agency"
+REPORTED = [*fx.PROVIDERS, AGENCY]
 YEAR = 2024  # of the test tables, for dates that come without one
 
 
@@ -179,8 +177,10 @@ def delivery_fact(t, dayparts="standard"):
 
 
 def fact(t):
-    """From the workbooks and the reach reports; ``delivery_fact`` is what the tests hold it against."""
-    return comingle.comingle_fact(provider_fact(t), reach_rows(t))
+    """From the workbooks, a fifth provider's dimension-tagged report, and the reach reports; ``delivery_fact`` is what the
+    tests hold the workbooks against."""
+    tagged = providers.long_cuts(fx.dimension_long(t), fx.net_map(t), fx.dma_map(t), "BrandA", AGENCY)
+    return report.merged_fact(provider_fact(t).unionByName(tagged), reach_rows(t))
 
 
 @query("job_comingle_fact", """
@@ -214,17 +214,17 @@ FROM fact JOIN (VALUES ('Dayparts','Daypart'), ('Networks','Network'), ('Market'
   ON data_type = dt LEFT JOIN dma_map m ON feature_value = corrected_dma GROUP BY c.cut_name, feature_value, brand"""
 
 
-REPORT_SQL = _report_sql([*fx.PROVIDERS, "Total"])
+REPORT_SQL = _report_sql([*REPORTED, "Total"])
 
 
 @query("job_report_cuts", REPORT_SQL)
 def _(t):
-    return all_cuts(comingle.report_cuts(fact(t), fx.dma_map(t), fx.PROVIDERS))
+    return all_cuts(report.report_cuts(fact(t), fx.dma_map(t), REPORTED))
 
 
 @query("job_report_totals_only", _report_sql(["Total"]))
 def _(t):
-    return all_cuts(comingle.report_totals_only(fact(t), fx.dma_map(t)))
+    return all_cuts(report.report_totals_only(fact(t), fx.dma_map(t)))
 
 
 @query("job_graph_edges", """

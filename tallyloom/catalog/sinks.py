@@ -3,10 +3,10 @@
 from pyspark.sql import functions as F
 
 from tallyloom import fixtures as fx
-from tallyloom.catalog.jobs import REPORT_SQL, all_cuts, fact
+from tallyloom.catalog.jobs import REPORT_SQL, REPORTED, all_cuts, fact
 from tallyloom.catalog.registry import query
 from tallyloom.operators.aggregates import group_sum
-from tallyloom.plans.comingle import report_cuts
+from tallyloom.plans.report import report_cuts
 from tallyloom.session import new_path
 from tallyloom.sinks import reports as sink
 from tallyloom.sources.tables import read_csv
@@ -21,7 +21,7 @@ def _(t):
 
 @query("write_report_cuts", REPORT_SQL)
 def _(t):
-    cuts = report_cuts(fact(t), fx.dma_map(t), fx.PROVIDERS)
+    cuts = report_cuts(fact(t), fx.dma_map(t), REPORTED)
     folder = sink.write_report_cuts(cuts, new_path(t.spark, "report"))
     return all_cuts(sink.read_report_cuts(t.spark, folder, cuts))
 

@@ -118,9 +118,17 @@ UNION ALL SELECT brand, 'Total', sum(imp)::DOUBLE, sum(hh)::DOUBLE FROM reach GR
 SELECT brand, mvpd, 'Impressions' AS metric_type, imp AS metric FROM reach_rows
 UNION ALL SELECT brand, mvpd, 'Reach', hh FROM reach_rows
 UNION ALL SELECT brand, mvpd, 'Frequency', round_even(imp / hh, 2) FROM reach_rows""",
+    # A fifth source, in one dimension-tagged report.
+    "tagged_fact": """
+SELECT feature_value, 'BrandA' AS brand, coalesce(sum(imp), 0)::DECIMAL(28,2) AS imp, 'Agency' AS mvpd, data_type FROM (
+  SELECT network AS feature_value, imp, 'Network' AS data_type FROM mapped UNION ALL SELECT market, imp, 'Market' FROM mapped
+  UNION ALL SELECT day, imp, 'Day' FROM mapped UNION ALL SELECT daypart, imp, 'Daypart' FROM mapped
+  UNION ALL SELECT strftime(date_trunc('week', event_date), '%Y-%m-%d'), imp, 'Week' FROM mapped
+  UNION ALL SELECT 'Total', imp, 'Summary' FROM mapped) GROUP BY feature_value, data_type""",
+    "merged_sources": "SELECT * FROM provider_fact UNION ALL SELECT * FROM tagged_fact",
     "fact_totals": """
-SELECT feature_value, brand, imp, mvpd, data_type FROM provider_fact
-UNION ALL SELECT feature_value, brand, sum(imp), 'Total', data_type FROM provider_fact GROUP BY feature_value, brand, data_type""",
+SELECT feature_value, brand, imp, mvpd, data_type FROM merged_sources
+UNION ALL SELECT feature_value, brand, sum(imp), 'Total', data_type FROM merged_sources GROUP BY feature_value, brand, data_type""",
     "fact": """
 SELECT feature_value, brand, imp::DOUBLE AS metric, mvpd, data_type, 'Impressions' AS metric_type FROM fact_totals
 UNION ALL SELECT 'Total', brand, sum(imp)::DOUBLE, mvpd, data_type, 'Impressions' FROM fact_totals WHERE data_type <> 'Summary' GROUP BY brand, mvpd, data_type

@@ -44,9 +44,9 @@ def lookup(df: DataFrame, mapping: DataFrame, key: str, mapping_key: str | None
 
 
 def literal_lookup(df: DataFrame, pairs: dict[str, str], key: str, value: str) -> DataFrame:
-    """Left join to a table built from literals; its size is fixed by the code, hence the hint."""
+    """Left join to a table built from literals, whose exact size Spark knows."""
     table = literal_table(df.sparkSession, [("_lookup", "string"), (value, "string")], list(pairs.items()))
-    return df.join(F.broadcast(table), F.col(key) == F.col("_lookup"), "left").drop("_lookup")
+    return df.join(table, F.col(key) == F.col("_lookup"), "left").drop("_lookup")
 
 
 def literal_table(spark: SparkSession, fields: Sequence[tuple[str, str]], rows: Sequence[tuple]) -> DataFrame:

@@ -20,7 +20,7 @@ TOTAL = "Total"
 FEATURE_CUTS = {"Dayparts": "Daypart", "Networks": "Network", "Market": "Market", "Day of Week": "Day", "Week": "Week"}
 
 
-def comingle_fact(fact: DataFrame, reach: DataFrame | None = None) -> DataFrame:
+def merged_fact(fact: DataFrame, reach: DataFrame | None = None) -> DataFrame:
     """Provider rows with all totals, reach and frequency rows, and the report column each belongs to."""
     rows = with_totals(fact).select(
         "feature_value", "brand", F.col("impressions").cast("double").alias("metric"), "mvpd", "data_type",

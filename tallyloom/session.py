@@ -25,13 +25,13 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder for written intermediates: ``spark.checkpoint.dir`` of the session.
+    """The folder for the written intermediates of this application, below ``spark.checkpoint.dir`` of the session.
 
-    Only a local session may go without the setting; it then gets a temporary folder of its own.
+    It is named after the application, so that it can be removed when the application has ended.  Only a local session may go without the setting; it then gets a temporary folder of its own.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return shared.rstrip("/")
+        return f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}"
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId

@@ -13,7 +13,7 @@ from tallyloom.catalog import jobs
 from tallyloom.operators import aggregates as agg
 from tallyloom.operators import joins, reshape
 from tallyloom.operators import totals as tot
-from tallyloom.plans import comingle, graph, levels, providers, reach, sources_merge
+from tallyloom.plans import graph, levels, providers, reach, report, sources_merge
 
 FACT = "feature_value string, brand string, impressions decimal(18,2), mvpd string, data_type string"
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -72,13 +72,13 @@ def test_cuts_add_up_to_their_total_row(spark, folder):
 
 def test_report_order(spark, folder):
     t = fx.Tables(spark, folder)
-    cuts = comingle.report_cuts(jobs.fact(t), fx.dma_map(t), fx.PROVIDERS)
+    cuts = report.report_cuts(jobs.fact(t), fx.dma_map(t), fx.PROVIDERS)
     assert list(cuts) == ["Summary", "Dayparts", "Networks", "Market", "Day of Week", "Week"]
-    days = [r.feature_value for r in comingle.in_report_order("Day of Week", cuts["Day of Week"]).filter("brand = 'BrandA'").collect()]
+    days = [r.feature_value for r in report.in_report_order("Day of Week", cuts["Day of Week"]).filter("brand = 'BrandA'").collect()]
     assert days == ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday", "Total"]
-    summary = [r.cut for r in comingle.in_report_order("Summary", cuts["Summary"]).filter("brand = 'BrandA'").collect()]
+    summary = [r.cut for r in report.in_report_order("Summary", cuts["Summary"]).filter("brand = 'BrandA'").collect()]
     assert summary[-1] == "Reach and Frequency" and "Summary" not in summary
-    assert [r.feature_value for r in comingle.in_report_order("Week", cuts["Week"]).filter("brand = 'BrandA'").collect()][-1] == "Total"
+    assert [r.feature_value for r in report.in_report_order("Week", cuts["Week"]).filter("brand = 'BrandA'").collect()][-1] == "Total"
     assert "dma_code" in cuts["Market"].columns
 
 
