@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.session import materialize
@@ -30,6 +31,30 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[quoted(c) for c in df.columns if c.lower() not in taken])
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Hand whole texts to Python a few at a time while an operator's own jobs run; the session's setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def frugal(work):
+    """A generator over batches that gives Arrow's unused memory back when it ends."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
+    return run
+
+
 def lower_ascii(text):
     """Lower-case A-Z alone.  ``lower`` does the same, faster, where a text has no other letters."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import components, materialize, mixed, shingles, text_groups, without
+from tallyloom.llm.common import components, frugal, materialize, mixed, shingles, small_batches, text_groups, without
 
 ADDED = ("n_shingles", "component_id", "kept")
 
@@ -107,10 +107,10 @@ def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
                     pa.array([p.tobytes() for p in packed], pa.binary()),
                 ], ["doc_id", "n", "fa", "fb", "bands", "packed"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(sign, "doc_id bigint, n bigint, fa bigint, fb bigint, bands array<bigint>, packed binary")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(frugal(sign), "doc_id bigint, n bigint, fa bigint, fb bigint, bands array<bigint>, packed binary")
 
 
-def _columns(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, ...]:
+def _columns(batch: pa.RecordBatch | pa.Table, width: int) -> tuple[np.ndarray, ...]:
     ints = [batch.column(c).to_numpy() for c in ("key", "id", "size", "label")]
     packed = np.frombuffer(b"".join(batch.column("packed").to_pylist()), np.uint64).reshape(-1, width)
     return (*ints, packed)
@@ -151,25 +151,29 @@ def _forest(pairs: np.ndarray, n: int) -> np.ndarray:
     return pairs[keep]
 
 
+def _blocked(members: DataFrame, rule: Rule) -> DataFrame:
+    """Members of buckets by (bucket, pair of blocks), as ``key``; side 0 is a block with itself, 1 and 2 are two blocks."""
+    blocks = F.ceil(F.col("n_bucket") / rule.block)
+    m = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    many = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
+    other = F.when(F.col("blocks") > 1, many).otherwise(F.array(F.lit(0).cast("bigint")))
+    m = m.withColumn("other", F.explode(other))
+    group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    return m.withColumn("key", group).withColumn("side", side)
+
+
 def candidate_pairs(members: DataFrame, rule: Rule, forest: bool) -> DataFrame:
-    """(a, b, estimate) among documents of one bucket that are not yet in one component.
+    """(a, b, estimate) among documents of one bucket.
 
     members: key, id, size (of the set), label (component), packed, n_bucket.  Buckets above ``rule.block`` members are
     cut into blocks by a hash of the id, and every pair of blocks is a task's work of its own; nothing is left out.
     With ``forest`` only the best-estimated spanning forest of a block pair comes back, otherwise all candidates.
     """
     width = -(-rule.bands * rule.rows // (64 // rule.bits))
-    blocks = F.ceil(F.col("n_bucket") / rule.block)
-    m = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    many = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
-    other = F.when(F.col("blocks") > 1, many).otherwise(F.array(F.lit(0).cast("bigint")))
-    m = m.withColumn("other", F.explode(other))
-    group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    m = m.select(group.alias("key"), "id", "size", "label", "packed", F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side"))
+    m = _blocked(members, rule).select("key", "id", "size", "label", "packed", "side")
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple] = []
-
         def groups(part: tuple, last: bool) -> tuple[list[np.ndarray], tuple]:
             key = part[0]
             cuts = np.flatnonzero(np.diff(key)) + 1
@@ -210,10 +214,72 @@ def candidate_pairs(members: DataFrame, rule: Rule, forest: bool) -> DataFrame:
             yield from rows_of(found)
         if part is not None:
             yield from rows_of(groups(part, True)[0])
-        del kept
 
     ordered = m.repartition("key").sortWithinPartitions("key")
-    return ordered.mapInArrow(solve, "a bigint, b bigint, estimate double")
+    return ordered.mapInArrow(frugal(solve), "a bigint, b bigint, estimate double")
+
+
+def confirmed_links(members: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): links on full sets that join documents of one bucket whose labels differ.
+
+    members: as for ``candidate_pairs``, with shingles, bands and the number of the bucket's band.  A task holds two blocks
+    with their sets; it looks at each pair in the first bucket the pair shares, leaves out pairs that are already joined,
+    confirms the others on their sets, and returns the links that join something: fewer than it has documents.
+    """
+    width = -(-rule.bands * rule.rows // (64 // rule.bits))
+    n = rule.bands * rule.rows
+    m = _blocked(members, rule).select("key", "id", "size", "label", "packed", "side", "band", "bands", "shingles")
+
+    def links(rows: list[pa.RecordBatch]) -> np.ndarray:
+        t = pa.Table.from_batches(rows).combine_chunks()
+        _, ids, sizes, labels, packed = _columns(t, width)
+        side, band = t.column("side").to_numpy(), int(t.column("band")[0].as_py())
+        bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        sets = t.column("shingles").combine_chunks()
+        _, token = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        present = np.zeros(int(token.max(initial=-1)) + 1, bool)
+        root = np.unique(labels, return_inverse=True)[1]
+        out = []
+        for i in range(len(ids) - 1):
+            j = np.arange(i + 1, len(ids))
+            if not (side == 0).all():
+                j = j[side[i + 1:] != side[i]]
+            j = j[(root[j] != root[i]) & (100 * np.minimum(sizes[j], sizes[i]) >= rule.percent * np.maximum(sizes[j], sizes[i]))]
+            j = j[estimated(_equal(packed[j], packed[i], rule.bits, n), n, rule.bits) >= rule.least]
+            j = j[(bands[j, :band] != bands[i, :band]).all(1)]
+            if not len(j):
+                continue
+            own = token[ends[i]:ends[i + 1]]
+            present[own] = True
+            both = np.array([np.count_nonzero(present[token[ends[k]:ends[k + 1]]]) for k in j])
+            present[own] = False
+            for k in j[100 * both >= rule.percent * (sizes[i] + sizes[j] - both)]:
+                if root[k] != root[i]:
+                    out.append((ids[i], ids[k]))
+                    root[root == root[k]] = root[i]
+        return np.array(out, np.int64).reshape(-1, 2)
+
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+
+        def result() -> pa.RecordBatch:
+            f = links(kept)
+            return pa.RecordBatch.from_arrays([pa.array(f.min(1, initial=1 << 62)), pa.array(f.max(1, initial=-(1 << 62)))], ["a", "b"])
+
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            bounds = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                if kept and kept[0].column("key")[0].as_py() != keys[a]:
+                    yield result()
+                    kept = []
+                if b > a:
+                    kept.append(batch.slice(a, b - a))
+        if kept:
+            yield result()
+
+    return m.repartition("key").sortWithinPartitions("key").mapInArrow(frugal(solve), "a bigint, b bigint")
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -225,7 +291,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                 sets = [s.view(np.int64) for s in shingles(texts, words)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(texts)), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(cut, "id bigint, shingles array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(frugal(cut), "id bigint, shingles array<bigint>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -244,19 +310,20 @@ def linked(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     2. Band keys shared by two or more representatives are buckets; small ones give all candidates, large ones
        the spanning forest of highest bit estimates.  First each document's best candidate and the forests are
        confirmed on full sets and joined into components.
-    3. Then all remaining candidates between different components are confirmed, those of large buckets worked
-       out block by block.  A pair inside one component cannot change it, so no link that matters is lost, and a
+    3. Then all remaining candidates between different components are confirmed, those of large buckets inside the
+       task that finds them, block by block.  A pair inside one component cannot change it, so no link that matters is lost, and a
        group of thousands of near copies costs a few pairs for each copy.
     """
     spark = docs.sparkSession
-    signed = materialize(signatures(docs.filter("doc_id is not null"), rule), "signatures")
+    with small_batches(spark):
+        signed = materialize(signatures(docs.filter("doc_id is not null"), rule), "signatures")
     # Null and empty texts have no set; documents without one are never grouped.
     full = signed.filter("n > 0")
     heads = full.groupBy("n", "fa", "fb").agg(F.min("doc_id").alias("rep"))
     heads = materialize(heads, "heads")
     reps = full.join(heads.select(F.col("rep").alias("doc_id"), "n", "fa", "fb"), ["doc_id", "n", "fa", "fb"]).dropDuplicates(["doc_id"])
     # The keys alone are counted and shuffled; signatures follow for members of shared buckets only.
-    keys = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
+    keys = reps.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n_bucket")).filter("n_bucket > 1")
     inside = materialize(keys.join(shared, "key"), "buckets")
     about = reps.select(F.col("doc_id").alias("id"), F.col("n").alias("size"), "packed")
@@ -268,7 +335,8 @@ def linked(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     ends = near.select("a", "b").unionByName(trees).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     ends = materialize(ends, "ends")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ends, "doc_id").dropDuplicates(["doc_id"])
-    sets = materialize(shingle_sets(texts, rule.words), "sets")
+    with small_batches(spark):
+        sets = materialize(shingle_sets(texts, rule.words), "sets")
     sides = near.select(F.col("a").alias("id"), "a", "b", "estimate").unionByName(near.select(F.col("b").alias("id"), "a", "b", "estimate"))
     best = sides.groupBy("id").agg(F.max(F.struct("estimate", F.col("a"), F.col("b"))).alias("m")).select("m.a", "m.b")
     first = best.unionByName(trees).distinct()
@@ -282,9 +350,11 @@ def linked(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     split = labelled(large.withColumnRenamed("id", "a").drop("label"), "a").withColumnRenamed("a", "id").withColumnRenamed("c_a", "label")
     # Buckets whose members are all in one component have nothing left to find.
     open_keys = split.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    wide = candidate_pairs(split.join(open_keys, "key", "left_semi"), rule, False).select("a", "b")
-    second = between.unionByName(wide).distinct().join(first, ["a", "b"], "left_anti")
-    later = materialize(confirmed(second, sets, rule), "links")
+    whole = split.join(open_keys, "key", "left_semi").join(sets, "id").join(reps.select(F.col("doc_id").alias("id"), "bands"), "id")
+    with small_batches(spark):
+        wide = materialize(confirmed_links(whole, rule), "links")
+    second = between.distinct().join(first, ["a", "b"], "left_anti")
+    later = materialize(confirmed(second, sets, rule).unionByName(wide), "links")
     if not later.isEmpty():
         labels = components(links.unionByName(later), "labels")
     # Components of representatives; a component's smallest representative is its smallest doc_id.
