@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import chat, decontaminate, html, language, lines, mixing, near_dup, neighbours, tokens, warc
-from tallyloom.llm.common import materialize
+from tallyloom.llm.common import materialize, small_batches
 from tallyloom.session import new_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -77,7 +77,8 @@ def token_digest(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     path = new_path(spark, "tokens")
     tokens.write_token_files(docs, path, TOKENIZER)
-    return tokens.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    with small_batches(spark, 16):  # blocks of some 100 KB
+        return materialize(tokens.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")), "digest")
 
 
 def op10_token_output(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,6 +92,19 @@ QUERIES = {f.__name__: f for f in (
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 ORACLES: dict[str, str] = {
+    "op4_decontaminate": r"""
+WITH doc AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+item AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+win AS (SELECT DISTINCT item_id, len(x) AS n, array_to_string(x, ' ') AS x FROM (
+  SELECT item_id, w[s + 1:s + 13] AS x FROM (SELECT item_id, w, unnest(range(0, greatest(len(w) - 12, 1))) AS s FROM item WHERE len(w) > 0))),
+grams AS (SELECT doc_id, n, s, array_to_string(w[s + 1:s + n], ' ') AS x FROM (
+  SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS s FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+found AS (SELECT doc_id, s, grams.n, item_id FROM grams JOIN win ON grams.x = win.x AND grams.n = win.n),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM found) GROUP BY doc_id),
+held AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM found GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)""",
     "op5_mix_sources": rf"""
 WITH sized AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORDS}')), 0)::BIGINT AS size FROM documents),
 sums AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
@@ -124,4 +138,15 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(upto) FILTER (role = 'assistant' OR last)::BIGINT AS formatted_chars
 FROM s GROUP BY conv_id""",
+    "op8_minhash_near_dup": r"""
+WITH RECURSIVE doc AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+grams AS (SELECT DISTINCT doc_id, array_to_string(w[s + 1:s + 3], ' ') AS x FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 2, 1))) AS s FROM doc WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM grams a JOIN grams b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n + q.n - k)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN low ON a = doc_id LEFT JOIN sizes USING (doc_id)""",
 }

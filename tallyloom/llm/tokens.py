@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import unicodedata
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -13,56 +16,82 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import materialize
+from tallyloom.llm.common import frugal, materialize, small_batches
 
 END_ID = 1
 MAX_BITS = 18
 BLOCK_IDS = 1 << 16
 CHECKPOINT_IDS = 64
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 # White space that str.split also takes but that is left to the tokenizer here.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _ASCII_SPACE = re.compile("[\x09-\x0d\x20]+")
+# Fixed value: ASCII marks that are a piece of their own beside letters; the apostrophe is not, it may join some.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _encoders: dict[str, Encoder] = {}
+_ID = attrgetter("id")
 
 
-class Encoder:
-    """A tokenizer whose result for a text is that of its words in turn, with a cache of two generations of words.
+def _four_bytes(ids) -> bytes:
+    packed = array("i", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
-    That holds for ``word_bpe_49k.json``: it drops white space and never joins what white space parts.
+
+def _byte_alphabet() -> dict[int, int]:
+    """Byte-level BPE writes a byte as itself where it is a visible Latin-1 character, else as the next one after 255."""
+    hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+class Encoder(dict):
+    """Words to the bytes of their ids (little-endian, 32 bits), by the tokenizers library; unknown words are encoded
+    when they are first asked for.
+
+    A text's ids are those of its words in turn: ``word_bpe_49k.json`` drops white space and never joins what it
+    parts.  It lower-cases and cuts letters from marks, so a word of letters between marks is looked up by its parts,
+    and a run of letters in lower case goes to the BPE model itself.  Anything else takes the library's whole path.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_str(definition)
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
-
-    def learn(self, words: list[str]) -> None:
-        if len(self.young) + len(words) > CACHE_WORDS:
-            self.old, self.young = self.young, {}
-        fresh = []
-        for w in words:
-            known = self.old.get(w)
-            if known is None:
-                fresh.append(w)
-            else:
-                self.young[w] = known
-        for w, e in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.young[w] = tuple(e.ids)
+        self.model = self.tokenizer.model
+        self.alphabet = _byte_alphabet()
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        known = self.old.get(word)
+        if known is None:
+            known = self._encoded(word)
+        self[word] = known
+        return known
+
+    def _encoded(self, word: str) -> bytes:
+        letters = word.strip(_MARKS)
+        lower = letters.lower()
+        if lower.isalpha() and "<|" not in word and "\u03a3" not in letters and (letters.isascii() or unicodedata.is_normalized("NFC", letters)):
+            if letters != word or lower != letters:
+                at = word.find(letters)
+                return b"".join(self[x] for x in (word[:at], lower, word[at + len(letters):]) if x)
+            mapped = lower if lower.isascii() else lower.encode().decode("latin-1").translate(self.alphabet)
+            return _four_bytes(map(_ID, self.model.tokenize(mapped)))
+        return _four_bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def ids(self, texts: list[str], end: int) -> list[np.ndarray]:
-        split = [t.split() if not _ODD_SPACE.search(t) else [w for w in _ASCII_SPACE.split(t) if w] for t in texts]
-        out = []
-        for words in split:
-            missing = set(words).difference(self.young)
-            if missing:
-                self.learn(list(missing))
-            out.append(np.fromiter(chain(chain.from_iterable(map(self.young.__getitem__, words)), (end,)), np.int32))
+        last, out = _four_bytes([end]), []
+        for t in texts:
+            if len(self) > CACHE_WORDS:  # two generations: what is still in use moves over
+                self.old = dict(self)
+                self.clear()
+            words = t.split() if not _ODD_SPACE.search(t) else [w for w in _ASCII_SPACE.split(t) if w]
+            out.append(np.frombuffer(b"".join([*map(self.__getitem__, words), last]), "<i4"))
         return out
 
 
@@ -170,49 +199,54 @@ def _codebook(counts: dict[int, int]) -> np.ndarray:
 # Files
 
 def encode_documents(docs: DataFrame, tokenizer: str, end: int = END_ID) -> DataFrame:
-    """(part, start, doc_id, ids) in ascending doc_id order, written; start counts the ids before it in its part.
+    """(part, start, doc_id, ids, used, counts) in ascending doc_id order, written; start counts the ids before it in its part.
 
-    Rows are range-partitioned and sorted by doc_id, then text (null as empty, null doc_ids first), and encoded in that
-    order; rows that repeat a doc_id all stay.
+    Rows are range-partitioned and sorted by doc_id, then a hash of the text (null as empty, null doc_ids first), and
+    encoded in that order; rows that repeat a doc_id all stay.  The last row of a part has no ids, but which ids the part
+    used and how often, so that counting does not read the ids again.
     """
+    names = ["part", "start", "doc_id", "ids", "used", "counts"]
     with open(tokenizer, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(definition.value)
-        part, start = TaskContext.get().partitionId(), 0
+        part, start, total = TaskContext.get().partitionId(), 0, np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
                 ids = own.ids([t or "" for t in piece.column("text").to_pylist()], end)
                 n = np.array([len(x) for x in ids], np.int64)
                 ends = np.concatenate([[0], np.cumsum(n)])
+                flat = np.concatenate(ids)
+                seen = np.bincount(flat, minlength=len(total))
+                seen[: len(total)] += total
+                total = seen
+                none = [None] * len(ids)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(ids), part, np.int32)),
                     pa.array(start + ends[:-1]),
                     piece.column("doc_id"),
-                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(ids))),
-                ], ["part", "start", "doc_id", "ids"])
+                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)),
+                    pa.array(none, pa.list_(pa.int32())),
+                    pa.array(none, pa.list_(pa.int64())),
+                ], names)
                 start += int(ends[-1])
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([part], pa.int32()), pa.array([start]), pa.array([None], pa.int64()), pa.array([None], pa.list_(pa.int32())),
+            pa.array([used.astype(np.int32)], pa.list_(pa.int32())), pa.array([total[used]], pa.list_(pa.int64())),
+        ], names)
 
     ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = ordered.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
-    return materialize(ordered.mapInArrow(encode, "part int, start bigint, doc_id bigint, ids array<int>"), "ids")
+    ordered = ordered.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    return materialize(ordered.drop("tie").mapInArrow(frugal(encode), "part int, start bigint, doc_id bigint, ids array<int>, used array<int>, counts array<bigint>"), "ids")
 
 
 def id_counts(encoded: DataFrame) -> dict[int, int]:
-    """Occurrences of every id: summed per task, then over tasks.  One row per id of the vocabulary reaches the driver."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            n = np.bincount(batch.column("ids").flatten().to_numpy(), minlength=len(total))
-            n[: len(total)] += total
-            total = n
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
-
-    return {r["id"]: r["n"] for r in encoded.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()}
+    """Occurrences of every id, from the parts' own counts.  One row per id of the vocabulary reaches the driver."""
+    pairs = encoded.filter("used is not null").select(F.explode(F.arrays_zip("used", "counts")).alias("p"))
+    return {r["id"]: r["n"] for r in pairs.groupBy(F.col("p.used").alias("id")).agg(F.sum("p.counts").alias("n")).collect()}
 
 
 BLOCK_SCHEMA = "part int, start bigint, doc_ids array<bigint>, n_ids array<int>, checkpoints array<bigint>, payload binary"
@@ -225,8 +259,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = END
     global code, and the bit offset of every 64th id.  Parts follow the order of doc_id.
     """
     spark = docs.sparkSession
-    encoded = encode_documents(docs, tokenizer, end)
-    lengths = _codebook(id_counts(encoded))
+    with small_batches(spark):
+        encoded = encode_documents(docs, tokenizer, end)
+        lengths = _codebook(id_counts(encoded))
     codes = canonical_codes(lengths)
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,9 +291,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = END
         if ids:
             yield flush()
 
-    encoded.mapInArrow(block, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
+    with small_batches(spark):
+        encoded.filter("ids is not null").select("part", "start", "doc_id", "ids").mapInArrow(frugal(block), BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
     # One row per part and per id of the vocabulary.
-    totals = encoded.groupBy("part").agg(F.sum(F.size("ids")).alias("n")).orderBy("part").collect()
+    totals = encoded.filter("used is not null").select("part", F.col("start").alias("n")).orderBy("part").collect()
     firsts, at = [], 0
     for r in totals:
         firsts.append((r["part"], at))
@@ -291,4 +327,4 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     pa.array([raw[4 * a:4 * b] for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
                 ], ["doc_id", "start", "n_tokens", "ids"])
 
-    return spark.read.parquet(f"{path}/blocks").mapInArrow(decode, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+    return spark.read.parquet(f"{path}/blocks").mapInArrow(frugal(decode), "doc_id bigint, start bigint, n_tokens bigint, ids binary")
