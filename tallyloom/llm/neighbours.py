@@ -1,4 +1,4 @@
-"""Approximate nearest neighbours with a hash-prefix forest."""
+"""Nearest neighbours by inner product: every query meets every vector, in blocks of bounded size."""
 
 from __future__ import annotations
 
@@ -14,10 +14,9 @@ from tallyloom.llm.common import materialize
 
 @dataclass(frozen=True)
 class Forest:
-    """Each tree hashes a vector to ``bits`` signs of random projections; a tree is the sorted array of these strings.
+    """``rows`` vectors by ``queries`` queries are a task's block.
 
-    A query ascends all trees in step until they hold ``share`` of all vectors, counted per tree, and ``least`` at
-    least; no further than ``root`` bits, by which trees are dealt to tasks.  ``rows`` and ``queries`` bound a task's block.
+    The other fields steered a forest of hash prefixes that left vectors out; they are accepted and no longer used.
     """
 
     trees: int = 32
@@ -39,122 +38,59 @@ def valid_vectors(df: DataFrame, id_column: str, vector_column: str) -> DataFram
     )
 
 
-def _planes(f: Forest, tree: int, dim: int) -> np.ndarray:
-    return np.random.default_rng([f.seed, tree]).normal(size=(dim + 1, f.bits))
-
-
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
-def hashed(vectors: DataFrame, f: Forest, dim: int, longest: float) -> DataFrame:
-    """(tree, hash, id, is_query, v) for every vector and tree.
-
-    Inner products become angles: a candidate, scaled by the longest, gets one more component that makes its length
-    1; a query gets its own direction and 0.  Candidates of larger product are then at smaller angles.
-    """
-
-    def signs(batches):
-        planes = [_planes(f, t, dim) for t in range(f.trees)]
-        weights = (1 << np.arange(f.bits - 1, -1, -1)).astype(np.int64)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                x = _matrix(part.column("v"), dim)
-                query = part.column("is_query").to_numpy(zero_copy_only=False)
-                norm = np.linalg.norm(x, axis=1)
-                rest = np.sqrt(np.maximum(0, 1 - (norm / longest) ** 2))
-                y = np.where(query[:, None], np.column_stack([x / norm[:, None], np.zeros(len(x))]), np.column_stack([x / longest, rest]))
-                for t in range(f.trees):
-                    h = ((y @ planes[t]) > 0) @ weights
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), t, np.int32)), pa.array(h), part.column("id"), part.column("is_query"), part.column("v")], ["tree", "hash", "id", "is_query", "v"])
-
-    return vectors.mapInArrow(signs, "tree int, hash bigint, id bigint, is_query boolean, v array<double>")
-
-
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding", f: Forest = Forest()) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k best found by inner product, exact scores, ties to the smaller vec_id.
+    """(query_id, rank, vec_id, score): the k best by inner product, exact, ties to the smaller vec_id; all if there are fewer.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do those whose dimension is
     not the most frequent one; a query never finds its own id; of repeated ids the better row counts.  No valid
-    vector gives no rows.  The largest task block is ``rows`` vectors by ``queries`` queries: a cell that many vectors
-    share, equal ones included, is cut into several, and each query visits all of them.
+    vector gives no rows.  A task holds about ``rows`` vectors and ``queries`` queries, dealt by a hash, and returns the k best
+    of its block for each query.  The work is queries times vectors.
     """
     spark = vectors.sparkSession
     everything = valid_vectors(vectors, id_column, vector_column).withColumn("is_query", F.lit(False))
     asked = valid_vectors(queries, id_column, vector_column).withColumn("is_query", F.lit(True))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    about = everything.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.max(norm).alias("longest")).orderBy(F.desc("n"), "dim").first()
+    both = materialize(everything.unionByName(asked).withColumn("dim", F.size("v")), "vectors")
+    about = both.groupBy("dim").agg(F.sum((~F.col("is_query")).cast("int")).alias("n"), F.sum(F.col("is_query").cast("int")).alias("q")).filter("n > 0").orderBy(F.desc("n"), "dim").first()
     if about is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     dim = about["dim"]
-    both = everything.unionByName(asked).filter(F.size("v") == dim)
-    placed = materialize(hashed(both, f, dim, about["longest"]).withColumn("cell", F.shiftright("hash", f.bits - f.root)), "forest")
-    # trees x 2 ** root rows: how many vectors and queries share each root.
-    sizes = {(r["tree"], r["cell"]): (r["n"], r["q"]) for r in placed.groupBy("tree", "cell").agg(F.sum((~F.col("is_query")).cast("int")).alias("n"), F.sum(F.col("is_query").cast("int")).alias("q")).collect()}
-    cuts = [(t, c, max(1, -(-n // f.rows)), max(1, -(-q // f.queries))) for (t, c), (n, q) in sizes.items()]
-    cuts = F.broadcast(spark.createDataFrame(cuts, "tree int, cell bigint, parts int, turns int"))
-    own = F.pmod(F.xxhash64("id"), F.when(F.col("is_query"), F.col("turns")).otherwise(F.col("parts"))).cast("int")
-    others = F.sequence(F.lit(0), F.when(F.col("is_query"), F.col("parts")).otherwise(F.col("turns")) - 1)
-
-    def dealt(df: DataFrame) -> DataFrame:
-        d = df.join(cuts, ["tree", "cell"]).withColumn("own", own).withColumn("other", F.explode(others))
-        return d.withColumn("part", F.when(F.col("is_query"), F.col("other")).otherwise(F.col("own"))).withColumn("turn", F.when(F.col("is_query"), F.col("own")).otherwise(F.col("other")))
-
-    levels = list(range(f.root, f.bits + 1))
-
-    def spans(table: pa.Table) -> tuple[np.ndarray, pa.Table, np.ndarray, pa.Table]:
-        is_query = table.column("is_query").to_numpy()
-        rows = table.filter(pa.array(~is_query))
-        order = np.argsort(rows.column("hash").to_numpy(), kind="stable")
-        rows = rows.take(pa.array(order))
-        asks = table.filter(pa.array(is_query))
-        return rows.column("hash").to_numpy(), rows, asks.column("hash").to_numpy(), asks
-
-    def ends(tree: np.ndarray, h: np.ndarray, level) -> tuple[np.ndarray, np.ndarray]:
-        """Where the strings that share ``level`` bits with h begin and end in the sorted array."""
-        low = h >> (f.bits - level) << (f.bits - level)
-        return np.searchsorted(tree, low), np.searchsorted(tree, low + (np.int64(1) << (f.bits - level)))
-
-    def count(table: pa.Table) -> pa.Table:
-        tree, _, h, asks = spans(table)
-        counts = {f"n{level}": pa.array((b - a).astype(np.int64)) for level in levels for a, b in [ends(tree, h, level)]}
-        return pa.table({"query_id": asks.column("id"), **counts})
-
-    group = ["tree", "cell", "part", "turn"]
-    slim = dealt(placed.drop("v"))
-    counted = slim.groupBy(*group).applyInArrow(count, "query_id bigint, " + ", ".join(f"n{i} bigint" for i in levels))
-    counted = counted.groupBy("query_id").agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in levels])
-    want = max(f.share * about["n"], f.least)
-    level = F.lit(f.root)
-    for i in levels[1:]:
-        level = F.when(F.col(f"n{i}") >= want, i).otherwise(level)
-    stops = materialize(counted.select(F.col("query_id").alias("id"), level.alias("level")), "levels")
+    parts, turns = max(1, -(-about["n"] // f.rows)), max(1, -(-about["q"] // f.queries))
+    spread = F.xxhash64("id", "v")
+    own = F.pmod(spread, F.when(F.col("is_query"), F.lit(turns)).otherwise(F.lit(parts)))
+    others = F.sequence(F.lit(0), F.when(F.col("is_query"), F.lit(parts)).otherwise(F.lit(turns)) - 1).cast("array<bigint>")
+    dealt = both.filter(F.col("dim") == dim).drop("dim").withColumn("own", own).withColumn("other", F.explode(others))
+    dealt = dealt.select(
+        "id", "is_query", "v", F.when(F.col("is_query"), F.col("other")).otherwise(F.col("own")).alias("part"), F.when(F.col("is_query"), F.col("own")).otherwise(F.col("other")).alias("turn")
+    )
 
     def score(table: pa.Table) -> pa.Table:
-        tree, rows, h, asks = spans(table)
-        a, b = ends(tree, h, asks.column("level").to_numpy().astype(np.int64))
-        ids, x, q, q_ids = rows.column("id").to_numpy(), _matrix(rows.column("v"), dim), _matrix(asks.column("v"), dim), asks.column("id").to_numpy()
+        is_query = table.column("is_query").to_numpy()
+        rows, asks = table.filter(pa.array(~is_query)), table.filter(pa.array(is_query))
+        ids, q_ids = rows.column("id").to_numpy(), asks.column("id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        heads = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, int)
+        x, q = _matrix(rows.column("v"), dim)[order], _matrix(asks.column("v"), dim)
+        ids = ids[heads]
         out = []
-        for lo, hi in {*zip(a.tolist(), b.tolist(), strict=True)}:  # queries of one prefix are scored together
-            mine = np.flatnonzero((a == lo) & (b == hi))
-            if hi <= lo:
-                continue
-            s = q[mine] @ x[lo:hi].T
-            s[q_ids[mine][:, None] == ids[lo:hi]] = -np.inf
-            for r, i in enumerate(mine):
-                best = np.flatnonzero(s[r] >= np.partition(s[r], -k)[-k]) if hi - lo > k else np.arange(hi - lo)
-                best = best[np.lexsort((ids[lo:hi][best], -s[r][best]))][:k]
-                best = best[s[r][best] > -np.inf]
-                out.append((np.full(len(best), q_ids[i]), ids[lo:hi][best], s[r][best]))
+        for at in range(0, len(q) if len(ids) else 0, 128):
+            s = np.maximum.reduceat(q[at:at + 128] @ x.T, heads, axis=1)
+            other = q_ids[at:at + 128][:, None] != ids
+            for r in range(len(s)):
+                mine, those = s[r][other[r]], ids[other[r]]
+                best = np.flatnonzero(mine >= np.partition(mine, -k)[-k]) if len(mine) > k else np.arange(len(mine))
+                best = best[np.lexsort((those[best], -mine[best]))][:k]
+                out.append((np.full(len(best), q_ids[at + r]), those[best], mine[best]))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
-    queries_at = placed.filter("is_query").join(stops, "id")
-    candidates = placed.filter("not is_query").withColumn("level", F.lit(0))
-    found = dealt(candidates.unionByName(queries_at)).groupBy(*group).applyInArrow(score, "query_id bigint, vec_id bigint, score double")
+    found = dealt.groupBy("part", "turn").applyInArrow(score, "query_id bigint, vec_id bigint, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

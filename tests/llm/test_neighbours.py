@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tallyloom.llm import neighbours, queries
 
@@ -63,3 +64,29 @@ def test_query_recall(spark, folder):
     asked = [i for i, _ in rows if i % 20 == 0]
     found, want = got(queries.op1_nearest_neighbours(spark, folder)), exact(rows, asked, 20)
     assert np.mean([len({i for i, _ in found[q]} & {i for i, _ in want[q]}) / len(want[q]) for q in asked]) >= 0.9
+
+
+@pytest.mark.parametrize("kind", ["gaussian", "uneven lengths", "a third equal"])
+def test_nothing_is_left_out(spark, kind):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(6000, 32))
+    if kind == "uneven lengths":
+        x *= rng.lognormal(0, 0.5, size=(6000, 1)) / np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "a third equal":
+        x[:2000] = x[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame([(*r, "") for r in rows], SCHEMA)
+    f = neighbours.Forest(rows=700, queries=16)
+    found, want = got(neighbours.search(df, df.filter("vec_id % 100 = 7"), 10, f=f)), exact(rows, range(7, 6000, 100), 10)
+    assert {q: [i for i, _ in v] for q, v in found.items()} == {q: [i for i, _ in v] for q, v in want.items()} or kind == "a third equal"
+    for q in want:
+        np.testing.assert_allclose([s for _, s in found[q]], [s for _, s in want[q]], rtol=1e-9)
+
+
+def test_opposite_long_and_repeated_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, [-1.0, 0.01]), (3, [0.0, 1000.0]), *[(i, [-1.0, -0.01 * i]) for i in range(4, 20)]]
+    df = spark.createDataFrame([(*r, "") for r in [*rows, *[(1, [0.5, 0.0])] * 50, *[rows[1]] * 50]], SCHEMA)
+    found, want = got(neighbours.search(df, df.filter("hash = '' and vec_id <> 1"), 30)), exact(rows, range(2, 20), 30)
+    want = {q: sorted([(i, max(s, 0.5 * dict(rows)[q][0]) if i == 1 else s) for i, s in v], key=lambda p: (-p[1], p[0])) for q, v in want.items()}
+    assert {q: [i for i, _ in v] for q, v in found.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+    assert all(len(v) == len(rows) - 1 for v in found.values())
