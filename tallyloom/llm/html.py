@@ -35,6 +35,14 @@ ASIDE_WORDS = {
     "masthead", "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription", "signup", "login", "popup", "modal", "overlay", "widget", "toolbar", "pagination",
     "pager", "skip", "copyright", "legal", "search", "form",
 }
+# As an id these are as often a topic of the article as a part of the page.
+TOPICS = {
+    "discussion", "legal", "notice", "notices", "disclaimer", "form", "search", "related", "alert", "copyright", "social", "share", "sharing", "respond", "reply", "replies", "consent", "gdpr",
+    "promotion", "subscription", "advertising", "advertisement", "banner", "cookie", "cookies", "navigation", "newsletter", "sponsor", "login", "signup", "footer", "menu", "overlay", "widget",
+}
+# Parts of a class that tell a state of the page, as in has-sidebar or nav-open.
+STATES = {"has", "no", "with", "without", "is", "not", "hide", "show", "open", "opened", "closed", "enabled", "disabled", "active", "fixed", "collapsed", "expanded", "off", "on"}
+OTHERS = {"comment", "comments", "reply", "ad", "ads", "advert"}
 MAIN_WORDS = {"article", "post", "entry", "content", "story", "main", "body", "text"}
 ITEMS = {"p", "li", "tr", "td", "th", "dt", "dd", "option", "blockquote", "pre", "figure"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
@@ -46,19 +54,31 @@ _labels: dict[tuple[str, str], str] = {}
 
 
 def label(name: str, attributes: str) -> str:
-    """An element's name with what its attributes say about its role: ``div.-`` is aside, ``div.+`` may be main."""
+    """An element's name with what its attributes say about its role.
+
+    ``div.-`` is aside: its role says so, or a whole class or id is the word for it (on headings, items and topics only a
+    class).  ``div.~`` has the word in a compound and counts as aside only where nothing is marked as the article.
+    ``div.!`` is the article, ``div.+`` may be.
+    """
     if not attributes.strip():
         return name
     known = _labels.get((name, attributes))
     if known is None:
         a = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
-        words = {w.lower() for w in _WORDS.findall(a.get("class", "") + " " + a.get("id", ""))}
+        classes, own = a.get("class", "").lower().split(), a.get("id", "").lower().strip()
+        if name in HEADINGS or name in ITEMS or own in TOPICS:
+            own = ""
+        tokens = {*classes, own}
+        parts = [{w.lower() for w in _WORDS.findall(x)} for x in [*a.get("class", "").split(), a.get("id", "")]]
+        words = set().union(*parts)
         role = a.get("role", "").lower()
-        aside = role in ASIDE_ROLES or words & ASIDE_WORDS or "hidden" in a or a.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", a.get("style", ""))
-        if name in ("html", "body", "article", "main") and not (words & {"comment", "comments", "reply", "ad", "ads", "advert"}):
-            aside = False
+        hidden = "hidden" in a or a.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", a.get("style", ""))
+        aside = role in ASIDE_ROLES or tokens & ASIDE_WORDS or hidden
+        if name in ("html", "body", "article", "main"):
+            aside = name in ("article", "main") and (tokens & OTHERS or any(re.fullmatch(r"comment-\d+", t) for t in tokens))
+        weak = name not in ("html", "body", "article", "main", *HEADINGS, *ITEMS) and any(w & ASIDE_WORDS and not w & STATES for w in parts)
         main = role in ("main", "article") or a.get("itemprop") == "articleBody"
-        known = name + (".-" if aside else ".!" if main else ".+" if words & MAIN_WORDS and name not in ("body", "html") else "")
+        known = name + (".-" if aside else ".!" if main else ".~" if weak else ".+" if words & MAIN_WORDS and name not in ("body", "html") else "")
         if len(_labels) > 50_000:
             _labels.clear()
         _labels[name, attributes] = known
@@ -248,12 +268,17 @@ def _aside(node: Node) -> bool:
     return node.label.endswith(".-") or node.label.split(".")[0] in ASIDE_TAGS
 
 
-def _regions(node: Node, test) -> list[Node]:
-    if _aside(node):
+def _weak(node: Node) -> bool:
+    return node.label.endswith(".~")
+
+
+def _regions(node: Node, test, barred) -> list[Node]:
+    """The outermost elements that pass the test, none inside barred ones."""
+    if barred(node):
         return []
-    if test(node):
+    if test(node) and not _aside(node):
         return [node]
-    return [r for k in node.kids for r in _regions(k, test)]
+    return [r for k in node.kids for r in _regions(k, test, barred)]
 
 
 def _weight(node: Node) -> int:
@@ -265,36 +290,42 @@ def _weight(node: Node) -> int:
 def choose(wrapper: Node) -> Node:
     """Mark the content slots of a wrapper.
 
-    The article is what is marked so: article elements, else main ones, else those whose class says so; in a wrapper
-    without any it is the element whose own blocks hold the most varying text.  Asides within it are left out,
-    of a header only the headings are kept.  Outside marked regions, a text that three or more pages share is template.
+    The article is what is marked so: article elements, else main ones, outside asides if there are any, else within
+    them.  If nothing is marked it is what a class says, else the element whose own blocks hold the most varying text, compounds
+    of aside words being looked into last.  Asides within the article are left out, of a header only the headings are
+    kept.  Outside marked regions, a text that three or more pages share is template.
     """
     name = lambda n: n.label.split(".")[0]
-    marked = True
-    found = _regions(wrapper, lambda n: name(n) == "article") or _regions(wrapper, lambda n: n.label.endswith(".!") or name(n) == "main")
-    if not found:
-        marked = False
-        found = [r for r in _regions(wrapper, lambda n: n.label.endswith(".+")) if any(leaf.chars for leaf in r.leaves())]
-    if not found:
+    article, main = lambda n: name(n) == "article", lambda n: n.label.endswith(".!") or name(n) == "main"
+    anywhere, vague = lambda n: False, lambda n: _aside(n) or _weak(n)
+
+    def heaviest(barred) -> list[Node]:
         def all_nodes(n: Node) -> Iterator[Node]:
-            if not _aside(n):
+            if not barred(n):
                 yield n
                 for k in n.kids:
                     yield from all_nodes(k)
 
-        found = [max(all_nodes(wrapper), key=_weight)]
+        return [max(all_nodes(wrapper), key=_weight)]
 
-    def mark(node: Node, in_header: bool, heading: bool) -> None:
+    def classed() -> list[Node]:
+        return [r for r in _regions(wrapper, lambda n: n.label.endswith(".+"), vague) if any(leaf.chars for leaf in r.leaves())]
+
+    def mark(node: Node, in_header: bool, heading: bool, marked: bool, barred) -> bool:
         if node.label == "T":
             node.content = (heading or not in_header) and (marked or node.text is None or node.pages < 3)
-            return
-        if _aside(node):
-            return
-        for k in node.kids:
-            mark(k, in_header or name(node) == "header", heading or name(node) in HEADINGS)
-
-    for r in found:
-        mark(r, False, False)
+            return node.content
+        if barred(node):
+            return False
+        return any([mark(k, in_header or name(node) == "header", heading or name(node) in HEADINGS, marked, barred) for k in node.kids])
+
+    for find, marked, barred in (
+        (lambda: _regions(wrapper, article, _aside), True, _aside), (lambda: _regions(wrapper, main, _aside), True, _aside),
+        (lambda: _regions(wrapper, article, anywhere), True, _aside), (lambda: _regions(wrapper, main, anywhere), True, _aside),
+        (classed, False, vague), (lambda: heaviest(vague), False, vague), (lambda: heaviest(_aside), False, _aside),
+    ):
+        if any([mark(r, False, False, marked, barred) for r in find()]):
+            break
     return wrapper
 
 

@@ -65,3 +65,31 @@ def test_query_on_the_test_tables(spark, folder):
         body = re.sub(r"<br>|</?b>", " ", re.search(r"<article>(.*?)</article>", pages[r["page_id"]], re.S)[1])
         blocks = [" ".join(entities.unescape(b).split()) for b in re.split(r"</?(?:p|h1)>", body)]
         assert r["text"] == "\n\n".join(b for b in blocks if b)
+
+
+AROUND = ['<div class="layout has-sidebar">', '<div id="wrap" class="nav-open">', '<div class="content no-comments">', '<div class="page-with-sidebar">', '<div class="sidebar">', '<form id="form">']
+INSIDE = [
+    '<h2 id="discussion">Part {i}</h2>', '<section id="legal-form"><p>Part {i}</p></section>', '<p class="search-term">Part {i}</p>', '<section id="discussion"><p>Part {i}</p></section>',
+    '<ul><li id="search">Part {i}</li></ul>', '<div class="notice-period">Part {i}</div>', '<p id="related">Part {i}</p>',
+]
+
+
+def test_words_of_asides_in_classes_and_ids_lose_no_article(spark):
+    rows, want = [], {}
+    for n, part in enumerate([*AROUND, *INSIDE]):
+        for i in range(4):
+            around, inner = (part, "") if n < len(AROUND) else ("<div>", part.format(i=i))
+            close = "</form>" if around.startswith("<form") else "</div>"
+            page = HEAD + MENU + around + "<article>" + article(i) + inner + '<div class="ad">Buy</div></article>' + close + TAIL
+            rows.append((10 * n + i, f"http://h{n}.example/{i}", page))
+            want[10 * n + i] = text(i) + (f"\n\nPart {i}" if inner else "")
+    got = html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
+def test_compounds_without_a_marked_article(spark):
+    """What is named post-comments is not the article; a text found nowhere else is."""
+    plain = [(i, f"http://x.example/{i}", HEAD + '<div class="post">' + article(i) + f'</div><div class="post-comments"><p>Said {i} by some</p></div>' + TAIL) for i in range(4)]
+    other = [(10 + i, f"http://y.example/{i}", HEAD + MENU + '<div class="sidebar-layout">' + article(i) + "</div>" + TAIL) for i in range(4)]
+    got = html.extract(spark.createDataFrame(plain + other, "page_id bigint, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {k + i: text(i) for i in range(4) for k in (0, 10)}
