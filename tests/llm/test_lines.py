@@ -1,3 +1,5 @@
+import random
+
 import regex
 
 from tallyloom.llm import lines, queries
@@ -46,3 +48,55 @@ def test_query_keeps_every_line_that_is_new(spark, folder):
     for line in gone:  # each line that is not kept at all resembles another line
         assert any(abs(len(x) - len(line)) <= 0.2 * max(len(x), len(line)) and set(x.split()) & set(line.split()) for x in {*kept, *(gone - {line})})
     assert all(r["n_lines"] == docs[d].count("\n") + 1 for d, r in out.items())
+
+
+def _edits(x, y):
+    row = list(range(len(y) + 1))
+    for i, c in enumerate(x, 1):
+        before, row[0] = row[0], i
+        for j, d in enumerate(y, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (c != d))
+    return row[-1]
+
+
+def test_recall_against_all_pairs(spark):
+    """Lines of 3 to 50 words with replaced words or scattered edits, at 0.8 to 0.9 similarity."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9)))
+    pairs = []
+    while len(pairs) < 240:
+        words = [word() for _ in range(rng.choice([3, 5, 8, 10, 15, 20, 30, 50]))]
+        line = " ".join(words)
+        if len(pairs) % 3:
+            near = list(words)
+            for i in rng.sample(range(len(words)), max(1, len(words) // 6)):
+                near[i] = word()
+            near = " ".join(near)
+        else:
+            near = "".join(rng.choice("xyz") if c != " " and rng.random() < 0.12 else c for c in line)
+        if 0.1 <= _edits(line, near) / max(len(line), len(near)) <= 0.2:
+            pairs.append((line, near))
+    got = run(spark, [(2 * i + k, x) for i, p in enumerate(pairs) for k, x in enumerate(p)])
+    assert all(got[2 * i][1] == 1 for i in range(len(pairs)))
+    assert sum(got[2 * i + 1][1] == 0 for i in range(len(pairs))) >= 0.95 * len(pairs)
+
+
+def test_large_buckets_in_blocks(spark):
+    """Variants of two lines that only link through each other, in buckets larger than a block."""
+    rng = random.Random(5)
+    words = LINE.split()
+    texts = []
+    for i in range(150):
+        near = list(words)
+        near[rng.randrange(len(words))] = f"new{i}"
+        texts.append(" ".join(near))
+    docs = spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: r["n_kept"] for r in lines.dedup_lines(docs, lines.Rule(block=16)).collect()}
+    assert got == {i: int(i == 0) for i in range(150)}
+
+
+def test_long_words_and_scripts_without_spaces(spark):
+    base = "".join(chr(0x4E00 + (i * 37) % 3000) for i in range(70))
+    code = "".join("abcdefghijklmnop"[(i * i * 7 + i) % 16] for i in range(90))
+    got = run(spark, [(1, base), (2, "\u5000" + base[1:]), (3, code), (4, "zzz" + code[3:])])
+    assert {k: v[1] for k, v in got.items()} == {1: 1, 2: 0, 3: 1, 4: 0}
