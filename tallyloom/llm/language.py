@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import text_groups, without
@@ -17,7 +17,7 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """The sample is bounded: about ``sample_docs`` labelled texts of at most ``sample_chars`` characters."""
+    """The sample is bounded: about ``sample_docs`` labelled texts, ``sample_chars`` characters of each at most."""
 
     sample_docs: int = 2400
     sample_chars: int = 50_000
@@ -145,10 +145,11 @@ def logits(model: Model, data: np.ndarray, segment: int = 1 << 20) -> np.ndarray
 def fit(docs: DataFrame, held_out: Column | None = None, s: Settings = Settings()) -> Model:
     """Train on a bounded sample of the labelled documents that are not held out, spread over the languages.
 
-    Counts per language set the share of each that is drawn by a hash of doc_id; only that sample (sizes in
-    ``Settings``) comes to the driver, where numpy trains.  Rows with null text or lang teach nothing.
+    Counts per language set the share of each that is drawn by a hash of doc_id and text, with a margin, of which the
+    smallest hashes stay; only that sample (sizes in ``Settings``) comes to the driver, where numpy trains.  Of long texts
+    the beginning teaches.  Rows with null text or lang teach nothing.
     """
-    usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text").between(1, s.sample_chars))
+    usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0)
     if held_out is not None:
         usable &= ~F.coalesce(held_out, F.lit(False))
     labelled = docs.filter(usable).select("doc_id", "text", F.col("lang").alias("lang"))
@@ -156,9 +157,13 @@ def fit(docs: DataFrame, held_out: Column | None = None, s: Settings = Settings(
     if not counts:
         return train([], [], s)
     each = max(1, s.sample_docs // len(counts))
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(s.seed)), F.lit(1_000_000))
-    shares = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, int(min(1.0, each / n) * 1_000_000))])
-    rows = labelled.filter(draw < F.element_at(shares, F.col("lang"))).orderBy("doc_id", "lang").limit(2 * s.sample_docs).collect()
+    draw = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text", F.lit(s.seed)), 1) / F.lit(float(1 << 63))
+    # Twice ``each`` and 40 rows are expected, so that a language hardly ever comes out short of ``each``.
+    shares = F.create_map(*[F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, (2 * each + 40) / n))])
+    rows = labelled.withColumn("draw", draw).filter(F.col("draw") < F.element_at(shares, F.col("lang")))
+    order = Window.partitionBy("lang").orderBy("draw", "doc_id")
+    rows = rows.withColumn("text", F.substring("text", 1, s.sample_chars)).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= each)
+    rows = rows.orderBy("doc_id", "lang").select("text", "lang").collect()
     return train([r["text"].encode("utf-8", "surrogatepass") for r in rows], [r["lang"] for r in rows], s)
 
 

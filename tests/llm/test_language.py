@@ -43,3 +43,11 @@ def test_query_holds_out_and_is_right(spark, folder):
     held = out.filter("held_out")
     assert held.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1).isEmpty()
     assert held.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.9
+
+
+def test_large_languages_and_long_texts_are_learned(spark):
+    """A language with 1,200,000 rows for each one that is wanted, and one with long texts only."""
+    many = spark.range(1_200_000).selectExpr("id AS doc_id", "'the of and that with have this' AS text", "'en' AS lang")
+    long = spark.createDataFrame([(-i, "der die und nicht sich mit " * 3000, "de") for i in range(1, 4)], "doc_id bigint, text string, lang string")
+    model = language.fit(many.unionByName(long), s=language.Settings(sample_docs=2))
+    assert model.langs == ["de", "en"]
