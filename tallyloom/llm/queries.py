@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, html, language, lines, mixing, near_dup, neighbours, tokens, warc
+from tallyloom.llm import bpe, chat, decontaminate, html, language, lines, mixing, near_dup, neighbours, spelling, tokens, warc, whitening
 from tallyloom.llm.common import materialize, small_batches
 from tallyloom.session import new_path
 
@@ -85,8 +85,27 @@ def op10_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_digest(_table(spark, folder, "documents"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    white = whitening.whiten(_table(spark, folder, "embeddings"), 32)
+    return white.select("vec_id", "component", "n", F.col("deviation").cast("bigint").alias("deviation"), "whitened", "explained", "identity_error")
+
+
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), tokenizer)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    encoded = encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), "ids")
+    with small_batches(spark):
+        return materialize(bpe.decode(encoded, tokenizer).select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256")), "bpe_digest")
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_table(spark, folder, "documents"), spelling.Rule(thin=199))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_nearest_neighbours, op2_main_text, op3_fuzzy_lines, op4_decontaminate, op5_mix_sources, op6_warc_archives, op7_chat_examples, op8_minhash_near_dup, op9_language_id, op10_token_output,
+    op11_whitening, op12_byte_bpe, op13_spelling_variants,
 )}
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -149,4 +168,24 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, w.b F
 low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
 FROM documents JOIN low ON a = doc_id LEFT JOIN sizes USING (doc_id)""",
+    # crc32 by its table of 256 entries; near words share one of the texts that are left when a code point is taken out.
+    "op13_spelling_variants": r"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+each AS (SELECT doc_id, w, count(*) AS n FROM runs WHERE length(w) >= 6 GROUP BY ALL),
+bytes AS (SELECT *, hex(encode(doc_id::VARCHAR || ':' || w)) AS x FROM each),
+hashed AS (SELECT w, n, xor(4294967295::BIGINT, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM bytes, crc),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM (
+  SELECT n, CASE WHEN h % 199 = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS (SELECT word, i, left(word, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word)))::INT AS i FROM words)),
+pairs AS (SELECT word AS a, rest AS b FROM cuts WHERE rest IN (SELECT word FROM words) UNION SELECT rest, word FROM cuts WHERE rest IN (SELECT word FROM words)
+  UNION SELECT x.word, y.word FROM cuts x JOIN cuts y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word),
+best AS (SELECT a, count(*) AS n_near, first(b ORDER BY n DESC, b) AS form, max(n) AS form_n FROM pairs JOIN words ON b = word GROUP BY a),
+forms AS (SELECT word, n, n_near, CASE WHEN form_n >= 5 * n THEN form END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n FROM words LEFT JOIN best ON a = word),
+walk AS (SELECT word, word AS root FROM forms UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.root WHERE forms.form IS NOT NULL)
+SELECT f.word, f.form, w.root, f.n, coalesce(f.n_near, 0)::BIGINT AS n_near, f.form_n
+FROM forms f JOIN (SELECT walk.word, root FROM walk JOIN forms ON forms.word = root WHERE forms.form IS NULL) w ON f.word = w.word""",
 }
