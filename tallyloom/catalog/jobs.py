@@ -100,9 +100,15 @@ REPORTED = [*fx.PROVIDERS, AGENCY]
 YEAR = 2024  # of the test tables, for dates that come without one
 
 
-def provider_fact(t):
+def workbooks(t):
+    """Lines and headers of all sheets, read once for all that starts from them."""
     lines = sh.read_sheet_set(t.spark, fx.provider_files(t))
-    return providers.sheet_cuts(lines, fx.net_map(t), fx.dma_map(t), year=YEAR)
+    return lines, materialize(sh.sheet_headers(lines), "headers")
+
+
+def provider_fact(t, books=None):
+    lines, headers = books or workbooks(t)
+    return providers.sheet_cuts(lines, fx.net_map(t), fx.dma_map(t), year=YEAR, headers=headers)
 
 
 @query("job_provider_sheets", "SELECT feature_value, brand, imp::DOUBLE AS impressions, mvpd, data_type FROM provider_fact")
@@ -123,13 +129,17 @@ def _(t):
     return as_double(weekly.weekly(daily, providers.ANCHOR, anchor_weeks=fx.anchor_weeks(t)))
 
 
-def reach_rows(t):
+# Fixed value: the word in the names of one provider's reach files.
+REACH_WORDS = {"parallel": "Comcast"}
+
+
+def reach_rows(t, books=None):
     sums = materialize(fx.reach_sums(t), "reach_sums")
-    lines = sh.read_sheet_set(t.spark, fx.provider_files(t))
+    lines, headers = books or workbooks(t)
     return reach.reach_frequency(reach.combine_reach(
-        reach.read_reach(fx.reach_file(sums), fx.PROVIDERS),
-        reach.reach_from_frequency(reach.read_reach_sheets(lines, "Reach-Frequency", "Cox", ["Households", "Frequency"]), "Households", "Frequency"),
-        reach.reach_from_summary(reach.read_reach_sheets(lines, "Order Summary", "Verizon", ["Impressions", "Households"]), "Impressions", "Households"),
+        reach.read_reach(fx.reach_file(sums), fx.PROVIDERS, words=REACH_WORDS, default="Comcast"),
+        reach.reach_from_frequency(reach.read_reach_sheets(lines, "Reach-Frequency", "Cox", ["Households", "Frequency"], headers=headers), "Households", "Frequency"),
+        reach.reach_from_summary(reach.read_reach_sheets(lines, "Order Summary", "Verizon", ["Impressions", "Households"], headers=headers), "Impressions", "Households"),
         reach.reach_from_campaigns(fx.dimension_long(t), "BrandA", "Comcast"),
     ))
 
@@ -180,7 +190,8 @@ def fact(t):
     """From the workbooks, a fifth provider's dimension-tagged report, and the reach reports; ``delivery_fact`` is what the
     tests hold the workbooks against."""
     tagged = providers.long_cuts(fx.dimension_long(t), fx.net_map(t), fx.dma_map(t), "BrandA", AGENCY)
-    return report.merged_fact(provider_fact(t).unionByName(tagged), reach_rows(t))
+    books = workbooks(t)
+    return report.merged_fact(provider_fact(t, books).unionByName(tagged), reach_rows(t, books))
 
 
 @query("job_comingle_fact", """
@@ -244,8 +255,8 @@ def _(t):
 
 
 @query("job_neural_net", """
-SELECT h AS hidden, attention, count(*) AS n FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)),
+SELECT h AS hidden, attention, true AS learned, count(*) AS n FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)),
   l_orderkey, l_linenumber, l_partkey, l_suppkey) AS i, count(*) OVER () AS c FROM attention), (VALUES (1::BIGINT), (5::BIGINT)) AS v(h)
 WHERE i > round(0.75 * c) GROUP BY ALL""")
 def _(t):
-    return learning.nets_on_split(fx.attention(t), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return learning.net_fits(fx.attention(t), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")

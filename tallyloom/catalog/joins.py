@@ -7,6 +7,7 @@ from tallyloom.catalog.registry import query
 from tallyloom.functions import calendar as cal
 from tallyloom.operators import joins as op
 from tallyloom.operators.aggregates import global_sum
+from tallyloom.operators.periods import join_periods
 from tallyloom.plans.weekly import provider_spans, week_anchor, with_week
 from tallyloom.session import materialize
 
@@ -88,3 +89,11 @@ def _(t):
     named = op.literal_lookup(rows, cal.DAYPART_ALIASES, "alias", "feature_value")
     named = op.literal_lookup(named, cal.CUSTOM_DAYPART_CODES, "code", "custom_value")
     return named.select("event_id", "feature_value", "custom_value")
+
+
+@query("join_range_periods", """
+SELECT event_id, d.brand, event_date, flight, first_date, last_date FROM delivery d LEFT JOIN flights f
+ON d.brand = f.brand AND d.event_date BETWEEN f.first_date AND f.last_date""")
+def _(t):
+    days = fx.delivery(t).select("event_id", "brand", "event_date")
+    return join_periods(days, fx.flights(t), "event_date", "first_date", "last_date", by=["brand"], how="left")

@@ -25,13 +25,14 @@ def networks_csv(t):
 
 
 def delivery_csv(t):
-    rows = fx.delivery(t).select("event_id", "raw_network", "impressions_text", "mvpd")
-    return t.once("delivery_csv", lambda p: write_csv(rows, p, partition_by=["mvpd"]))
+    note = F.concat(F.lit('first, of "'), F.col("raw_network"), F.lit('",\n"second", of '), F.col("event_id").cast("string"))
+    rows = fx.delivery(t).select("event_id", "raw_network", F.when(F.col("event_id") % 3 == 1, note).alias("note"), "impressions_text", "mvpd")
+    return t.once("delivery_csv", lambda p: write_csv(rows, p, partition_by=["mvpd"], escape='"'))
 
 
 def write_files(t):
     """All files that queries read back, so that a clock can start after they are there."""
-    for written in (titles_csv, networks_csv, delivery_csv, fx.source_files, fx.provider_files):
+    for written in (titles_csv, networks_csv, delivery_csv, fx.source_files, fx.latin_files, fx.provider_files):
         written(t)
 
 
@@ -47,9 +48,12 @@ def _(t):
     )
 
 
-@query("read_many_csv", "SELECT mvpd AS source, event_id, raw_network, impressions_text FROM delivery")
+@query("read_many_csv", """
+SELECT mvpd AS source, event_id, raw_network, impressions_text,
+  CASE WHEN event_id % 3 = 1 THEN 'first, of "' || raw_network || '",' || chr(10) || '"second", of ' || event_id END AS note
+FROM delivery""")
 def _(t):
-    return read_many_csv(t.spark, delivery_csv(t), "event_id bigint, raw_network string, impressions_text string")
+    return read_many_csv(t.spark, delivery_csv(t), "event_id bigint, raw_network string, impressions_text string, note string")
 
 
 def source_lines(t):
@@ -66,17 +70,19 @@ def first_cells(lines, n):
 
 @query("read_sheet_set", """
 SELECT file, sheet, c0, c1, NULL::VARCHAR AS c9 FROM source_lines
-UNION ALL SELECT file, 'Reach-Frequency', c0, c6, c9 FROM frequency_lines""")
+UNION ALL SELECT file, 'Reach-Frequency', c0, c6, c9 FROM frequency_lines
+UNION ALL SELECT file, sheet, c0, c1, NULL FROM latin_lines""")
 def _(t):
-    # The two-column sheets and the ten-column one, whose lines are of different length.
-    narrow = first_cells(source_lines(t), 2).withColumn("c9", F.lit(None).cast("string"))
+    # The two-column sheets, one set in another encoding, and the ten-column one, whose lines are of different length.
+    latin = sh.read_sheet_set(t.spark, fx.latin_files(t), sep=";", encoding="ISO-8859-1")
+    narrow = first_cells(source_lines(t).unionByName(latin), 2).withColumn("c9", F.lit(None).cast("string"))
     wide = provider_lines(t).filter("sheet = 'Reach-Frequency'")
     return narrow.unionByName(wide.select("file", "sheet", sh.cell_at(0).alias("c0"), sh.cell_at(6).alias("c1"), sh.cell_at(9).alias("c9")))
 
 
 @query("skip_rows", "SELECT file, sheet, c0, c1 FROM source_lines WHERE c1 IS NOT NULL")
 def _(t):
-    return first_cells(sh.skip_rows(source_lines(t), 2), 2)
+    return first_cells(sh.skip_rows(source_lines(t), 4), 2)  # two of them are blank
 
 
 @query("list_sheets", "SELECT DISTINCT file, sheet FROM source_cells")
@@ -86,8 +92,8 @@ def _(t):
 
 @query("promote_header", "SELECT file, sheet, c0 AS display_by, c1 AS impressions FROM source_cells")
 def _(t):
-    picked = sh.promote_header(source_lines(t), ["Display By", "Impressions"])
-    return picked.select("file", "sheet", F.col("Display By").alias("display_by"), F.col("Impressions").alias("impressions"))
+    picked = sh.promote_header(source_lines(t), ["Display By", fx.SPLIT_HEADER])
+    return picked.select("file", "sheet", F.col("Display By").alias("display_by"), F.col(fx.SPLIT_HEADER).alias("impressions"))
 
 
 @query("classify_files", """

@@ -74,7 +74,10 @@ UNION ALL SELECT mvpd || ' report', 'Hour', display_by, impressions_text FROM ho
     "source_lines": """
 SELECT * FROM source_cells
 UNION ALL SELECT s.file, s.sheet, l.c0, l.c1 FROM (SELECT DISTINCT file, sheet FROM source_cells) s,
-  (VALUES ('Delivery report', NULL), ('All dates', NULL), ('Display By', 'Impressions')) AS l(c0, c1)""",
+  (VALUES ('Delivery report', NULL), ('All dates,' || chr(10) || 'as "agreed"', NULL), ('Display By', 'Imp' || chr(10) || 'ressions')) AS l(c0, c1)""",
+    "latin_lines": """
+SELECT 'Agence rapport' AS file, 'Réseaux' AS sheet, 'Réseau ' || raw_network AS c0, CAST(coalesce(sum(imp), 0) AS BIGINT)::VARCHAR AS c1 FROM delivery GROUP BY raw_network
+UNION ALL SELECT 'Agence rapport', 'Réseaux', 'Réseau', 'Total;' || chr(10) || 'délivré'""",
     "provider_sheets": """
 SELECT brand || ' ' || mvpd || ' report' AS file, sheet, position FROM (SELECT DISTINCT brand, mvpd FROM delivery) d
 JOIN (VALUES ('Comcast','Network',1), ('Comcast','DMA',2), ('Comcast','Week',3), ('Comcast','Week Hour',4), ('Comcast','Day of Week',5), ('Comcast','Summary',6),
@@ -89,6 +92,11 @@ SELECT brand, CASE WHEN a IS NULL THEN f ELSE a - CAST(7 * ceil(greatest(a - f,
   SELECT brand, min(first) AS f, min(CASE WHEN mvpd = 'Comcast' THEN first END) AS a, max(last) AS last FROM (
     SELECT brand, mvpd, first, last FROM spans WHERE mvpd <> 'Comcast'
     UNION ALL SELECT brand, mvpd, CAST(date_trunc('week', first) AS DATE), CAST(date_trunc('week', last) AS DATE) + 6 FROM spans WHERE mvpd = 'Comcast') GROUP BY brand)""",
+    "flights": """
+SELECT CASE WHEN k % 2 = 0 THEN 'BrandA' ELSE 'BrandB' END AS brand, 'flight ' || k AS flight,
+  CASE WHEN k = 11 THEN DATE '2021-05-01' ELSE first END AS first_date,
+  CASE WHEN k = 11 THEN DATE '2024-01-12' WHEN k <> 6 THEN first + CAST((k * k) % 5 - 1 AS INTEGER) END AS last_date
+FROM (SELECT n_nationkey AS k, DATE '2024-01-03' + CAST((n_nationkey * 7) % 23 AS INTEGER) AS first FROM nation)""",
     "provider_fact": """
 SELECT feature_value, brand, coalesce(sum(imp), 0)::DECIMAL(28,2) AS imp, mvpd, data_type FROM (
   SELECT network AS feature_value, brand, imp, mvpd, 'Network' AS data_type FROM mapped
@@ -101,11 +109,12 @@ SELECT feature_value, brand, coalesce(sum(imp), 0)::DECIMAL(28,2) AS imp, mvpd,
 ) GROUP BY feature_value, brand, mvpd, data_type""",
     "households": "SELECT brand, mvpd, sum(imp) AS n, count(DISTINCT user_id) AS hh FROM delivery GROUP BY ALL",
     # One provider reports households and a rounded frequency instead of impressions; another has a second reach file
-    # with one row per brand, and campaign rows in its dimension-tagged report.
+    # with one row per brand, and campaign rows in its dimension-tagged report; two files of each brand that name no provider count as its own.
     "reach": """
 SELECT brand, mvpd, sum(imp) AS imp, sum(hh) AS hh FROM (
   SELECT brand, mvpd, CASE WHEN mvpd = 'Cox' THEN CAST(round_even(n::DOUBLE / hh, 2) * hh AS DECIMAL(18,2)) ELSE n END AS imp, hh FROM households
   UNION ALL SELECT brand, mvpd, 5000, 1000 FROM households WHERE mvpd = 'Comcast'
+  UNION ALL SELECT DISTINCT brand, 'Comcast', 2190, 730 FROM households
   UNION ALL SELECT 'BrandA', 'Comcast', sum(n), sum(hh) FROM (SELECT sum(imp) AS n, count(DISTINCT user_id) AS hh FROM delivery GROUP BY brand))
 GROUP BY brand, mvpd""",
     "frequency_lines": """

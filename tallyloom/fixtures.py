@@ -240,28 +240,54 @@ def hour_sheet(t: Tables) -> DataFrame:
 
 
 def source_files(t: Tables) -> str:
-    """A sheet set of day and hour sheets per provider, each with two lines above its header."""
-    return t.once("source_files", lambda path: _write_sheets(_source_lines(t), path))
+    """A sheet set of day and hour sheets per provider, each with four rows above its header: a title, a blank row, a note
+    that goes over two lines, another blank row.  The header goes over two lines too."""
+    return t.once("source_files", lambda path: _write_lines(_source_lines(t), path))
+
+
+# Cells with line breaks, separators and quotes in them.
+SPLIT_NOTE = 'All dates,\nas "agreed"'
+SPLIT_HEADER = "Imp\nressions"
 
 
 def _source_lines(t: Tables) -> DataFrame:
     def body(sheet: str, rows: DataFrame) -> DataFrame:
         return rows.select(
             F.concat("mvpd", F.lit(" report")).alias("file"), F.lit(sheet).alias("sheet"),
-            F.when(F.col("display_by") == "Total", 4).otherwise(3).alias("rank"), F.col("display_by").alias("c0"),
+            F.when(F.col("display_by") == "Total", 6).otherwise(5).alias("rank"), F.col("display_by").alias("c0"),
             F.col("impressions_text").alias("c1"),
         )
 
     rows = body("Day", day_sheet(t)).unionByName(body("Hour", hour_sheet(t)))
-    top = F.inline(F.array(
-        F.struct(F.lit(0).alias("rank"), F.lit("Delivery report").alias("c0"), F.lit(None).cast("string").alias("c1")),
-        F.struct(F.lit(1).alias("rank"), F.lit("All dates").alias("c0"), F.lit(None).cast("string").alias("c1")),
-        F.struct(F.lit(2).alias("rank"), F.lit("Display By").alias("c0"), F.lit("Impressions").alias("c1")),
-    ))
+    none = F.lit(None).cast("string")
+    top = F.inline(F.array(*[
+        F.struct(F.lit(rank).alias("rank"), c0.alias("c0"), c1.alias("c1"))
+        for rank, (c0, c1) in enumerate([
+            (F.lit("Delivery report"), none), (none, none), (F.lit(SPLIT_NOTE), none), (none, none), (F.lit("Display By"), F.lit(SPLIT_HEADER)),
+        ])
+    ]))
     return rows.unionByName(rows.select("file", "sheet").distinct().select("file", "sheet", top))
 
 
-def _write_sheets(lines: DataFrame, path: str, mode: str = "error") -> None:
+def _write_lines(lines: DataFrame, path: str) -> None:
+    """Write report sheets as plain text, rows without any cell as blank lines."""
+    cells = [c for c in lines.columns if c.startswith("c")]
+    quoted = F.array(*[F.when(F.col(c).rlike('[",\n]'), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.coalesce(c, F.lit(""))) for c in cells])
+    line = F.when(F.coalesce(*cells).isNotNull(), F.array_join(quoted, ",")).otherwise("")
+    rows = lines.repartition("file", "sheet").sortWithinPartitions("file", "sheet", "rank", "c0")
+    rows.select("file", "sheet", line.alias("value")).write.partitionBy("file", "sheet").text(path)
+
+
+def latin_files(t: Tables) -> str:
+    """A workbook with one sheet in ISO-8859-1, semicolons between its cells."""
+    sums = measured(t).groupBy("raw_network").agg(exact_sum("impressions").cast("bigint").cast("string").alias("c1"))
+    rows = sums.select(F.lit(1).alias("rank"), F.concat(F.lit("Réseau "), F.col("raw_network")).alias("c0"), "c1")
+    header = rows.limit(1).select(F.lit(0).alias("rank"), F.lit("Réseau").alias("c0"), F.lit("Total;\ndélivré").alias("c1"))
+    lines = rows.unionByName(header).withColumns({"file": F.lit("Agence rapport"), "sheet": F.lit("Réseaux")})
+    return t.once("latin_files", lambda path: _write_sheets(lines, path, sep=";", encoding="ISO-8859-1"))
+
+
+def _write_sheets(lines: DataFrame, path: str, mode: str = "error", sep: str = ",", encoding: str = "UTF-8") -> None:
     """Write report sheets.  A sheet has one line per day, hour, market or network, so it fits a task."""
     cells = [c for c in lines.columns if c.startswith("c")]
     (
@@ -269,6 +295,7 @@ def _write_sheets(lines: DataFrame, path: str, mode: str = "error") -> None:
         .sortWithinPartitions("file", "sheet", "rank", "c0")
         .select("file", "sheet", *cells)
         .write.mode(mode).partitionBy("file", "sheet")
+        .option("sep", sep).option("encoding", encoding).option("escape", '"')
         .csv(path)
     )
 
@@ -427,6 +454,19 @@ def anchor_weeks(t: Tables) -> DataFrame:
     )
 
 
+def flights(t: Tables) -> DataFrame:
+    """Periods of campaigns per brand: uneven, overlapping, with days that none covers, one that ends before it starts,
+    one without an end, and one that goes over years."""
+    k = F.col("n_nationkey")
+    first = F.date_add(F.lit("2024-01-03").cast("date"), (k * 7) % 23)
+    last = F.date_add(first, (k * k) % 5 - 1)
+    return t.nation.select(
+        F.when(k % 2 == 0, "BrandA").otherwise("BrandB").alias("brand"), F.concat(F.lit("flight "), k.cast("string")).alias("flight"),
+        F.when(k == 11, F.lit("2021-05-01").cast("date")).otherwise(first).alias("first_date"),
+        F.when(k == 11, F.lit("2024-01-12").cast("date")).when(k != 6, last).alias("last_date"),
+    )
+
+
 def wide_hourly(t: Tables) -> DataFrame:
     """One row per provider and hour of the half day; two groups of Daypart, Start, End, Impressions."""
     hourly = measured(t).groupBy("mvpd", "hour").agg(exact_sum("impressions").alias("n"))
@@ -462,7 +502,7 @@ def reach_file(sums: DataFrame) -> DataFrame:
     """Reach reports of two providers, by file and line.
 
     A file has a Total segment row and one row per market segment; one provider has a Sub Total further down, the
-    other a second file with a single row.
+    other a second file with a single row.  Two more files for each brand name no provider.
     """
     own = sums.filter(F.col("mvpd").isin("Comcast", "Spectrum"))
     file = F.concat_ws(" ", "brand", "mvpd", F.lit("reach.csv")).alias("file")
@@ -473,7 +513,14 @@ def reach_file(sums: DataFrame) -> DataFrame:
         F.concat_ws(" ", "brand", "mvpd", F.lit("reach 2.csv")).alias("file"), F.lit(1).cast("bigint").alias("line_no"),
         F.lit("West").alias("segment"), F.lit(1000).cast("bigint").alias("hh"), F.lit(5000).cast(own.schema["n"].dataType).alias("n"),
     )
-    return whole.unionByName(again).unionByName(second).select(
+    nameless = F.inline(F.array(
+        F.struct(F.concat("brand", F.lit(" Parallel RF.csv")).alias("file"), F.lit(700).alias("hh"), F.lit(2100).alias("n")),
+        F.struct(F.concat("brand", F.lit(" reach.csv")).alias("file"), F.lit(30).alias("hh"), F.lit(90).alias("n")),
+    ))
+    others = sums.select("brand").distinct().select(nameless).select(
+        "file", F.lit(1).cast("bigint").alias("line_no"), F.lit("Total").alias("segment"), F.col("hh").cast("bigint").alias("hh"), F.col("n").cast(own.schema["n"].dataType).alias("n"),
+    )
+    return whole.unionByName(again).unionByName(second).unionByName(others).select(
         "file",
         "line_no",
         "segment",

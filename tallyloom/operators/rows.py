@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import contains_word, quoted
+from tallyloom.operators.selection import rows_between
 from tallyloom.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
@@ -43,13 +44,12 @@ def tail_n(df: DataFrame, n: int, *order: str) -> DataFrame:
 
 
 def slice_rows(df: DataFrame, start: int, stop: int, *order: str) -> DataFrame:
-    """Rows start ... stop-1 in the given order, at any depth.
+    """Rows start ... stop-1 in the given order, at any depth, without sorting or writing the table.
 
-    Positions are worked out on all executors, so that no task has to hold the rows before the slice; ``head_n``
-    is the cheaper way to the first few rows.
+    The keys at both ends are found by counting (``selection.keys_at``, which reads the order columns a few times when
+    called); the rows between them are the slice.  ``head_n`` is the cheaper way to the first few rows.
     """
-    placed = with_position(df, *order)
-    return placed.filter(F.col("position").between(start, stop - 1)).drop("position")
+    return rows_between(df, order, start, stop)
 
 
 def lookup_rows_by_label(df: DataFrame, key: str, labels: list, *columns: str) -> DataFrame:

@@ -125,7 +125,9 @@ def provider_sheets(lines: DataFrame, providers: Sequence[Provider] = PROVIDERS)
     return materialize(fits.groupBy("file", "mvpd", "role").agg(F.min_by("sheet", place).alias("sheet")), "roles")
 
 
-def sheet_records(lines: DataFrame, providers: Sequence[Provider] = PROVIDERS, brand: str | None = None) -> DataFrame:
+def sheet_records(
+    lines: DataFrame, providers: Sequence[Provider] = PROVIDERS, brand: str | None = None, headers: DataFrame | None = None
+) -> DataFrame:
     """Lines of all workbooks to sums per (brand, mvpd, role, label).
 
     The workbook name 'Brand Provider ...' gives provider and, if none is given, brand; the sheet name gives the
@@ -133,7 +135,7 @@ def sheet_records(lines: DataFrame, providers: Sequence[Provider] = PROVIDERS, b
     through the same single pass.
     """
     tagged = lines.join(provider_sheets(lines, providers), ["file", "sheet"])
-    records = sh.clean_records(sh.promote_header(tagged)).select(
+    records = sh.clean_records(sh.promote_header(tagged, headers=headers)).select(
         brand_of(F.col("file"), F.col("mvpd"), brand).alias("brand"),
         "mvpd",
         "role",
@@ -165,9 +167,10 @@ def sheet_cuts(
     anchor: str | None = ANCHOR,
     year: int | None = None,
     brand: str | None = None,
+    headers: DataFrame | None = None,
 ) -> DataFrame:
-    """All cuts of all providers from their sheet sets."""
-    return provider_cuts(sheet_records(lines, providers, brand), net_map, dma_map, providers, dayparts, anchor, year)
+    """All cuts of all providers from their sheet sets; ``headers`` as in ``sheets.promote_header``."""
+    return provider_cuts(sheet_records(lines, providers, brand, headers), net_map, dma_map, providers, dayparts, anchor, year)
 
 
 def provider_cuts(

@@ -16,9 +16,27 @@ from tallyloom.sources.sheets import cell_named, classify_file, clean_records, p
 REACH_TYPE = "Reach and Frequency"
 
 
-def read_reach(rows: DataFrame, providers: list[str], brand: str | None = None, line: str = "line_no") -> DataFrame:
+def file_owner(file: Column, words: dict[str, str], default: str | None) -> tuple[Column, Column]:
+    """Provider and brand of a reach file: by the first word its lower-cased name contains, else the default provider.
+
+    The brand is what stands in front of that word, or in front of 'reach', or the whole name without its ending.
+    """
+    role = classify_file(file, words)
+    mvpd = F.coalesce(role, F.lit(default).cast("string"))
+    front = F.regexp_extract(file, r"(?i)^(.*?)\s*(?:\breach\b.*|\.\w+)?$", 1)
+    for word in reversed(list(words)):
+        front = F.when(F.lower(file).contains(word), F.substring(file, F.lit(1), F.instr(F.lower(file), word) - 1)).otherwise(front)
+    return mvpd, F.trim(front)
+
+
+def read_reach(
+    rows: DataFrame, providers: list[str], brand: str | None = None, line: str = "line_no", words: dict[str, str] | None = None, default: str | None = None
+) -> DataFrame:
     """Reach reports to one row per brand and provider: impressions and reached households.
 
+    A file counts for the provider that its name contains, or for that of one of ``words`` ({word: provider}), else for
+    ``default``; without a default, files that name none count for no provider and drop out.
+
     Household columns contain 'hh' but not 'book', impressions columns 'impression' and 'deliver' (or
     are named 'imp').  Of each file the first Total segment counts, in the order of ``line``, or its only row; the
     files of a brand and provider then add up.  A file with several segments and no Total counts as nothing.
@@ -26,12 +44,11 @@ def read_reach(rows: DataFrame, providers: list[str], brand: str | None = None,
     households = columns_with(rows, "hh", without="book")
     amounts = [c for c in columns_with(rows, "impression") if "deliver" in c.lower()]
     amounts += [c for c in rows.columns if c.lower() == "imp"]
-    words = {p.lower(): p for p in providers}
-    mvpd = classify_file(F.col("file"), words)
+    mvpd, front = file_owner(F.col("file"), {p.lower(): p for p in providers} | (words or {}), default)
     clean = rows.select(
         F.col("file").alias("_file"),
         F.col(line).alias("_line"),
-        brand_of(F.col("file"), mvpd, brand).alias("brand"),
+        (front if brand is None else F.lit(brand)).alias("brand"),
         mvpd.alias("mvpd"),
         contains_word(F.col("segment"), "Total").alias("is_total"),
         row_sum(*[parse_number(F.col(quoted(c)), AMOUNT) for c in households]).alias("reach"),
@@ -42,11 +59,13 @@ def read_reach(rows: DataFrame, providers: list[str], brand: str | None = None,
     return group_sum(clean.join(chosen, ["_file", "_line"]), ["brand", "mvpd"], "impressions", "reach")
 
 
-def read_reach_sheets(lines: DataFrame, sheet: str, provider: str, columns: list[str], brand: str | None = None) -> DataFrame:
+def read_reach_sheets(
+    lines: DataFrame, sheet: str, provider: str, columns: list[str], brand: str | None = None, headers: DataFrame | None = None
+) -> DataFrame:
     """One provider's reach sheets of a sheet set: brand, mvpd and the named columns, total rows left out."""
     file = F.col("file")
     own = lines.filter((F.col("sheet") == sheet) & F.coalesce(classify_file(file, {provider.lower(): provider}).isNotNull(), F.lit(False)))
-    records = clean_records(promote_header(own))
+    records = clean_records(promote_header(own, headers=headers))
     picked = [cell_named(c).alias(c) for c in columns]
     return records.select(brand_of(file, F.lit(provider), brand).alias("brand"), F.lit(provider).alias("mvpd"), *picked)
 

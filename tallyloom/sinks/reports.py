@@ -11,8 +11,9 @@ from tallyloom.operators.joins import anti_unmapped
 from tallyloom.operators.aggregates import group_sum
 
 
-def write_csv(df: DataFrame, path: str, encoding: str | None = None, partition_by: Sequence[str] = ()) -> str:
-    writer = df.write.mode("overwrite").option("header", True)
+def write_csv(df: DataFrame, path: str, encoding: str | None = None, partition_by: Sequence[str] = (), escape: str = "\\") -> str:
+    """``escape`` stands before a quote inside a cell; a quote there doubles it."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", escape)
     if encoding:
         writer = writer.option("encoding", encoding)
     if partition_by:

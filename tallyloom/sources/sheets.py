@@ -13,41 +13,33 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.text import contains_word
 from tallyloom.session import materialize
-from tallyloom.sources.tables import csv_cells, path_name
+from tallyloom.sources.records import csv_cells, read_records
+from tallyloom.sources.tables import path_name
 
 # A line number takes the lower bits where it is packed with a count of cells.
 _LINE_BITS = 40
 
 
-def read_sheet_set(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of every sheet: file, sheet, position, line_no and the array of its text cells.
+def read_sheet_set(spark: SparkSession, root: str, sep: str = ",", encoding: str | None = None) -> DataFrame:
+    """Rows of every sheet: file, sheet, position, line_no and the array of its text cells.
 
     ``position`` is the sheet's place in its workbook, from a name such as '2. Week', whose sheet is 'Week'; null
-    without a number.  ``line_no`` counts 0, 1, 2, ... in each sheet, blank lines left out.  The scan is written
-    once, with each line's block and place in it; numbers come from the blocks' counts of that one table, so they
-    do not depend on how any later scan splits the files.
+    without a number.  ``line_no`` counts 0, 1, 2, ... in each sheet, over several part files if there are such.
+    Blank rows count, but are left out; a row whose quoted cells hold line breaks is one.  See ``records.read_records``.
     """
-    path = F.col("_metadata.file_path")
-    scan = spark.read.option("recursiveFileLookup", True).text(root).select(
-        path.alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_line"),
-        F.ltrim(F.col("value"), F.lit("\ufeff")).alias("value"),
-    )
+    records, sizes = read_records(spark, root, sep, encoding)
     name = path_name(F.col("_path"), 1)
     numbered = F.regexp_extract(name, r"^(\d+)\. (.+)$", 1)
-    lines = materialize(scan.filter("value <> ''").select(
+    sheets = sizes.select(
         path_name(F.col("_path"), 2).alias("file"),
         F.when(numbered == "", name).otherwise(F.regexp_extract(name, r"^(\d+)\. (.+)$", 2)).alias("sheet"),
         numbered.try_cast("int").alias("position"),
-        "_path", "_block", "_line",
-        csv_cells(F.col("value")).alias("cells"),
-    ), "sheet_lines")
-    blocks = lines.groupBy("file", "sheet", "position", "_path", "_block").agg(F.min("_line").alias("_first"), F.count("*").alias("_lines"))
-    before = Window.partitionBy("file", "sheet", "position").orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select("_path", "_block", (F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
-    placed = lines.join(materialize(starts, "line_starts"), ["_path", "_block"])
-    return placed.select("file", "sheet", "position", (F.col("_line") + F.col("_shift")).alias("line_no"), "cells")
+        "_path", "rows",
+    )
+    before = Window.partitionBy("file", "sheet", "position").orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    sheets = sheets.withColumn("_shift", F.coalesce(F.sum("rows").over(before), F.lit(0))).drop("rows")
+    placed = records.filter("value <> ''").join(sheets, "_path")
+    return materialize(placed.select("file", "sheet", "position", (F.col("row") + F.col("_shift")).alias("line_no"), csv_cells(F.col("value"), sep).alias("cells")), "sheet_lines")
 
 
 def list_sheets(lines: DataFrame) -> DataFrame:
@@ -55,7 +47,7 @@ def list_sheets(lines: DataFrame) -> DataFrame:
 
 
 def skip_rows(lines: DataFrame, n: int) -> DataFrame:
-    """Leave out the first n lines of every sheet."""
+    """Leave out the first n rows of every sheet, blank ones included."""
     return lines.filter(F.col("line_no") >= n)
 
 
@@ -108,12 +100,13 @@ def sheet_headers(lines: DataFrame, label: str = "Total") -> DataFrame:
     return header.join(used, ["file", "sheet"], "left").withColumn("used", F.coalesce("used", F.array().cast("array<int>")))
 
 
-def promote_header(lines: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+def promote_header(lines: DataFrame, names: Sequence[str] | None = None, headers: DataFrame | None = None) -> DataFrame:
     """Lines below the header of their sheet, with its cells as ``header``.
 
-    With names, those columns are picked out of the cells by header name, absent ones being null.
+    With names, those columns are picked out of the cells by header name, absent ones being null.  ``headers`` is a
+    written table of ``sheet_headers``, where several steps start from the same sheets.
     """
-    found = materialize(sheet_headers(lines), "headers")
+    found = materialize(sheet_headers(lines), "headers") if headers is None else headers
     below = lines.join(found, ["file", "sheet"]).filter(F.col("line_no") > F.col("header_line")).drop("header_line")
     if names is None:
         return below

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyloom.functions.text import quoted
 from tallyloom.session import materialize
+from tallyloom.sources.records import csv_cells, read_records
 
 
 def read_csv(
@@ -38,39 +39,26 @@ def read_csv(
 
 
 def read_many_csv(
-    spark: SparkSession, folder: str, schema: str | T.StructType, name: str = "source", pattern: str = "*.csv"
+    spark: SparkSession, folder: str, schema: str | T.StructType, name: str = "source", pattern: str = "*.csv", sep: str = ",", encoding: str | None = None
 ) -> DataFrame:
     """All CSV tables of a folder in one scan, each row naming its table.
 
     A table is a file ``folder/x.csv`` or a directory of part files ``folder/x``; files whose name does not fit the
-    pattern are left alone.  Each file's columns are found by its own header line: lines are read as cells, and those
-    headers, one row a file, are written and joined.  A column that a file lacks is null.
+    pattern are left alone.  Each file's columns are found by its own header, its first row that is not blank: rows are
+    read as cells, and those headers, one row a file, are written and joined.  A column that a file lacks is null.
+    Quoted cells may hold line breaks; see ``records.read_records``.
     """
     wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    path = F.col("_metadata.file_path")
-    lines = reader.text(folder).select(path.alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"), "value")
-    lines = materialize(lines.filter("value <> ''"), "csv_lines")
-    first = lines.filter("_block = 0").groupBy("_path").agg(F.min("_line").alias("_line"))
-    headers = lines.join(first, ["_path", "_line"]).select("_path", F.col("_line").alias("_top"), F.transform(csv_cells(F.col("value")), lambda c: F.trim(c)).alias("_names"))
-    rows = lines.join(materialize(headers, "csv_headers"), "_path").filter((F.col("_block") > 0) | (F.col("_line") > F.col("_top")))
-    rows = rows.withColumn("_cells", csv_cells(F.col("value")))
+    records, _ = read_records(spark, folder, sep, encoding, pattern)
+    records = records.filter("value <> ''")
+    first = records.groupBy("_path").agg(F.min("row").alias("_top"), F.min_by("value", "row").alias("_header"))
+    headers = first.select("_path", "_top", F.transform(csv_cells(F.col("_header"), sep), lambda c: F.trim(c)).alias("_names"))
+    rows = records.join(materialize(headers, "csv_headers"), "_path").filter(F.col("row") > F.col("_top"))
+    rows = rows.withColumn("_cells", csv_cells(F.col("value"), sep))
     cells = [F.get("_cells", F.array_position("_names", F.lit(f.name)).cast("int") - 1).try_cast(f.dataType).alias(f.name) for f in wanted.fields]
     return rows.select(*cells, path_name(F.col("_path"), 1).alias(name))
 
 
-def csv_cells(line: Column) -> Column:
-    """The cells of a CSV line: quotes removed, an empty cell is null, an empty quoted one an empty text."""
-    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"\\]|\\.|"")*"|[^,]*)'), F.lit(1))
-
-    def cell(c: Column) -> Column:
-        is_quoted = c.startswith('"') & c.endswith('"') & (F.length(c) > 1)
-        inner = F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), r'\\"|""', '"')
-        return F.when(c == "", None).when(is_quoted, inner).otherwise(c)
-
-    return F.transform(raw, cell)
-
-
 def path_name(path: Column, level: int) -> Column:
     """Name of a table (level 1) or of the folder above it (level 2), seen from the data file's path.
 

@@ -194,9 +194,81 @@ def test_scalars_side_by_side(frame):
     assert rows(joins.combine_scalars(frame("a int", (1,)), frame("b string", ("x",)))) == [(1, "x")]
 
 
-def test_nets_score_every_test_row_and_learn(frame):
+def _plain_net(x, y, hidden, rule):
+    """Resilient back-propagation in numpy, row by row weight 1."""
+    import numpy as np
+
+    size = x.shape[1] + 1
+    w = np.random.default_rng(rule.seed).normal(size=hidden * size + hidden + 1)
+    last, step, moved = np.zeros_like(w), np.full_like(w, rule.start), np.zeros_like(w)
+    ones = np.hstack([np.ones((len(x), 1)), x])
+    for _ in range(rule.epochs):
+        h = 1 / (1 + np.exp(-ones @ w[:hidden * size].reshape(hidden, size).T))
+        d = w[hidden * size] + h @ w[hidden * size + 1:] - y
+        back = d[:, None] * w[hidden * size + 1:] * h * (1 - h)
+        g = np.concatenate([(back.T @ ones).ravel(), [d.sum()], h.T @ d])
+        if np.abs(g).max() < rule.threshold:
+            break
+        for i in range(len(w)):
+            if g[i] * last[i] < 0:
+                step[i], move, last[i] = max(step[i] * rule.down, rule.least), -moved[i], 0.0
+                moved[i] = 0.0
+            else:
+                step[i] = min(step[i] * rule.up, rule.most) if g[i] * last[i] > 0 else step[i]
+                move = moved[i] = -np.sign(g[i]) * step[i]
+                last[i] = g[i]
+            w[i] += move
+    return w
+
+
+@pytest.fixture
+def learnable(frame):
+    return frame(
+        "id int, eyes double, face_forward double, chin_up double, attention double", *[(i, i % 100 / 100, i % 5 / 5, 0.5, float(i % 100 > 50)) for i in range(400)]
+    )
+
+
+@pytest.mark.parametrize("hidden", [1, 5])
+def test_nets_equal_the_plain_version(learnable, hidden):
+    import numpy as np
+
     from tallyloom.plans import learning
 
-    df = frame("id int, eyes double, face_forward double, chin_up double, attention double", *[(i, i / 400, i % 5 / 5, 0.5, float(i > 200)) for i in range(400)])
-    scored = learning.net_predictions(df, "id", hidden=(2,)).collect()
-    assert len(scored) == 100 and sum(r["attention"] == r["prediction"] for r in scored) > 85
+    rule = learning.Rprop(epochs=25)
+    net = next(n for n in learning.fit_nets(learning.compacted(learnable, "attention").persist(), [2, hidden], rule=rule) if n.hidden == hidden)
+    data = np.array([tuple(r)[1:] for r in learnable.collect()])
+    want = _plain_net(data[:, :3], data[:, 3], hidden, rule)
+    assert net.epochs == 25 and np.abs(np.array(net.weights) - want).max() < 1e-6
+
+
+def test_nets_stop_at_the_threshold_and_learn(learnable):
+    from tallyloom.plans import learning
+
+    rows_of = learning.compacted(learnable, "attention").persist()
+    (net,) = learning.fit_nets(rows_of, [1], rule=learning.Rprop(epochs=60))
+    scored = learnable.select("attention", net.output().alias("score")).collect()
+    assert sum((r["score"] > 0.5) == (r["attention"] == 1) for r in scored) > 380
+    (early,) = learning.fit_nets(rows_of, [1], rule=learning.Rprop(threshold=1e6))
+    assert early.epochs == 0 and early.gradient < 1e6
+
+
+def test_net_fits_depend_on_the_weights(learnable, frame):
+    from tallyloom.plans import learning
+
+    trained = learning.net_fits(learnable, "id", rule=learning.Rprop(epochs=30)).collect()
+    assert {(r["hidden"], r["learned"]) for r in trained} == {(1, True), (5, True)} and sum(r["n"] for r in trained) == 200
+    untrained = learning.net_fits(learnable, "id", rule=learning.Rprop(epochs=0)).collect()
+    assert not any(r["learned"] for r in untrained)
+    assert learning.net_fits(learnable.limit(0), "id").collect() == []
+
+
+def test_reach_files_that_name_no_provider(frame):
+    from tallyloom.plans import reach
+
+    df = frame(
+        "file string, line_no bigint, segment string, hh string, imp string",
+        ("Acme parallel RF.csv", 1, "Total", "10", "100"), ("Acme Spectrum parallel reach.csv", 1, "Total", "1", "2"), ("Best reach 2.csv", 1, "Total", "5", "50"), ("Plain.csv", 1, "x", "7", "8"),
+    )
+    got = rows(reach.read_reach(df, ["Comcast", "Spectrum"], words={"parallel": "Comcast"}, default="Comcast").select("brand", "mvpd", F.col("reach").cast("int"), F.col("impressions").cast("int")), "brand", "mvpd")
+    assert got == [("Acme", "Comcast", 10, 100), ("Acme", "Spectrum", 1, 2), ("Best", "Comcast", 5, 50), ("Plain", "Comcast", 7, 8)]
+    assert rows(reach.read_reach(df, ["Comcast", "Spectrum"], brand="B").select("brand", "mvpd")) == [("B", "Spectrum")]

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyloom.operators import rows as op
+from tallyloom.operators import selection
 from tallyloom.plans.learning import train_test_split
 
 
@@ -37,6 +38,56 @@ def test_slices_near_the_top_and_far_down(skewed):
     assert rows(op.slice_rows(df, 4998, 6000, "k", "id"), "k", "id") == sorted(data)[4998:]
 
 
+@pytest.fixture
+def fine(monkeypatch):
+    """Small tables go through the rounds that large ones need."""
+    monkeypatch.setattr(selection, "_FEW", 30)
+    monkeypatch.setattr(selection, "_BINS", 5)
+    monkeypatch.setattr(selection, "_SAMPLE", 4)
+
+
+def test_slices_found_by_counting(skewed, fine):
+    data, df = skewed
+    want = sorted(data)
+    for start, stop in [(0, 1), (0, 5000), (17, 18), (100, 140), (350, 4700), (2500, 2501), (4999, 5000), (4990, 9000), (5000, 5001), (7, 7)]:
+        assert sorted(rows(op.slice_rows(df, start, stop, "k", "id"))) == want[start:stop], (start, stop)
+
+
+def test_slices_through_ties(skewed, fine):
+    """The order column does not tell rows apart: the keys are those of the sorted rows, no row comes twice."""
+    data, df = skewed
+    keys = sorted(k for k, _ in data)
+    for start, stop in [(0, 10), (200, 2000), (1000, 1001), (100, 4000), (4500, 5000)]:
+        got = rows(op.slice_rows(df, start, stop, "k"))
+        assert sorted(k for k, _ in got) == keys[start:stop] and len(set(got)) == stop - start and set(got) <= set(data)
+
+
+def test_ranks_and_how_many_share_them(skewed, fine):
+    data, df = skewed
+    keys = sorted(k for k, _ in data)
+    places = selection.keys_at(df, ["k"], [0, 1234, 4999, 5000])
+    assert places[5000] is None
+    for rank in (0, 1234, 4999):
+        k = keys[rank]
+        assert (places[rank].key["k0"], places[rank].before, places[rank].equal) == (k, keys.index(k), keys.count(k))
+
+
+def test_slices_of_texts_and_nulls(spark, fine):
+    values = [None] * 50 + ["", "é", "z"] * 30 + [f"t{i % 40}" for i in range(400)]
+    random.Random(1).shuffle(values)
+    df = spark.createDataFrame([(v, float(i)) for i, v in enumerate(values)], "`a.b` string, x double")
+    want = sorted(((v is None, v or "", float(i), v) for i, v in enumerate(values)))
+    for start, stop in [(0, 30), (100, 400), (480, 530), (520, 600)]:
+        got = rows(op.slice_rows(df, start, stop, "a.b", "x"))
+        assert sorted(got, key=lambda r: r[1]) == sorted([(v, x) for _, _, x, v in want[start:stop]], key=lambda r: r[1])
+
+
+def test_a_slice_neither_sorts_nor_writes_the_table(skewed):
+    _, df = skewed
+    plan = op.slice_rows(df, 1000, 3000, "k", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "rangepartitioning" not in plan and "FileScan" not in plan
+
+
 def test_head_and_tail(skewed):
     data, df = skewed
     assert sorted(rows(op.head_n(df, 5, "k", "id"))) == sorted(data)[:5]
