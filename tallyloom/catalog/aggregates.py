@@ -7,6 +7,7 @@ from tallyloom.catalog.registry import query
 from tallyloom.functions import calendar as cal
 from tallyloom.operators import aggregates as op
 from tallyloom.operators import totals as tot
+from tallyloom.sources.statistics import table_facts
 
 
 def as_double(df, *names):
@@ -133,3 +134,10 @@ _CORR = ["l_quantity", "l_extendedprice", "l_discount"]
     for i, a in enumerate(_CORR) for b in _CORR[i:]))
 def _(t):
     return op.corr_matrix(t.lineitem, *_CORR).withColumn("corr", F.round("corr", 6))
+
+
+@query("table_facts", """
+SELECT 'o_orderkey' AS "column", count(*) AS "rows", count(o_orderkey) AS n, min(o_orderkey)::VARCHAR AS lo, max(o_orderkey)::VARCHAR AS hi FROM orders
+UNION ALL SELECT 'o_custkey', count(*), count(o_custkey), min(o_custkey)::VARCHAR, max(o_custkey)::VARCHAR FROM orders""")
+def _(t):
+    return table_facts(t.spark, f"{t.folder}/orders.parquet", ["o_orderkey", "o_custkey"])

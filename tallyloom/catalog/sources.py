@@ -7,8 +7,10 @@ from tallyloom.catalog.registry import query
 from tallyloom.plans.providers import PROVIDERS
 from tallyloom.sinks.reports import write_csv
 from tallyloom.session import materialize
+from tallyloom.sinks.workbooks import write_workbooks
 from tallyloom.sources import sheets as sh
 from tallyloom.sources.tables import read_csv, read_many_csv
+from tallyloom.sources.workbooks import read_workbooks
 
 TITLES = "show_id bigint, type string, title string, rating string, country string, release_year bigint, duration string"
 
@@ -136,3 +138,35 @@ def _(t):
     )
     last_wins = sheets.withColumn("role", sh.sheet_role(F.col("sheet"), _ROLE_RULES, precedence="last"))
     return last_wins.drop("position").join(first, ["file", "sheet"], "left")
+
+
+def _types_sql():
+    """Every column of every sheet with its type, by the rules that the fixture's sheets are written by."""
+    columns = []
+    for mvpd, dimension, sheet, *headers, _ in fx.LAYOUTS:
+        dated = dimension == "week" or (dimension == "date" and mvpd != "Spectrum")  # one provider writes every other date without its year
+        columns += [(mvpd, sheet, i, h, t) for i, (h, t) in enumerate(zip(headers, ["date" if dated else "text", "text", "integer"], strict=True))]
+    reach = ["Display By", "Line", "Start", "End", "Market", "Audience", "Households", "Frequency", "Share", "Note"]
+    columns += [("Cox", "Reach-Frequency", i, h, {6: "integer", 7: "decimal"}.get(i, "text")) for i, h in enumerate(reach)]
+    columns += [("Verizon", "Order Summary", i, h, t) for i, (h, t) in enumerate([("Order", "integer"), ("Impressions", "text"), ("Households", "integer")])]
+    values = ", ".join(f"('{m}', '{s}', {i}, '{h}', '{t}')" for m, s, i, h, t in columns)
+    return f"""
+SELECT p.file, p.sheet, v.i::INTEGER AS "column", v.name, v.type FROM provider_sheets p
+JOIN (VALUES {values}) AS v(mvpd, sheet, i, name, type) ON p.sheet = v.sheet AND p.file LIKE '% ' || v.mvpd || ' report'"""
+
+
+@query("infer_sheet_types", _types_sql())
+def _(t):
+    lines = provider_lines(t)
+    return sh.sheet_types(sh.clean_records(sh.promote_header(lines))).drop("n")
+
+
+def source_books(t):
+    """The day and hour sheets as workbooks, one a provider."""
+    return t.once("source_books", lambda path: write_workbooks(source_lines(t).withColumn("position", F.when(F.col("sheet") == "Day", 1).otherwise(2)), path))
+
+
+@query("read_workbooks", "SELECT file, sheet, CASE sheet WHEN 'Day' THEN 1 ELSE 2 END AS position, c0, c1 FROM source_lines")
+def _(t):
+    rows = materialize(read_workbooks(t.spark, source_books(t)), "workbook_rows")
+    return rows.select("file", "sheet", "position", sh.cell_at(0).alias("c0"), sh.cell_at(1).alias("c1"))

@@ -373,7 +373,7 @@ def provider_sums(t: Tables) -> DataFrame:
 
 
 # The sheets of each provider: dimension, sheet name, its three header cells, lines above the header.
-_LAYOUTS = [
+LAYOUTS = [
     ("Comcast", "network", "Network", "Display By", "Line", "Impressions", 2),
     ("Comcast", "market", "DMA", "Display By", "Line", "Impressions", 2),
     ("Comcast", "week", "Week", "Display By", "Line", "Impressions", 2),
@@ -403,7 +403,7 @@ def _provider_lines(t: Tables) -> DataFrame:
     names = ["mvpd", "dimension", "sheet", "h0", "h1", "h2"]
     place: dict[str, int] = {}
     rows = []
-    for mvpd, dimension, sheet, *rest in _LAYOUTS:  # a sheet's name begins with its place in the workbook
+    for mvpd, dimension, sheet, *rest in LAYOUTS:  # a sheet's name begins with its place in the workbook
         place[mvpd] = place.get(mvpd, 0) + 1
         rows.append((mvpd, dimension, f"{place[mvpd]}. {sheet}", *rest))
     layout = literal_table(t.spark, [(n, "string") for n in names] + [("n_top", "int")], rows)

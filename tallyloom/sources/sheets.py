@@ -144,3 +144,53 @@ def clean_records(records: DataFrame, label: str = "Total") -> DataFrame:
     """Drop total rows, then rows with a gap in any column that their sheet uses."""
     complete = F.forall("used", lambda i: F.get("cells", i).isNotNull())
     return records.filter(~contains_word(cell_at(0), label) & complete).drop("used")
+
+
+# What a cell can be, as bits that are merged by or, and the patterns of numbers in text.
+_INTEGER, _DECIMAL, _DOUBLE, _DATE, _TEXT = 1, 2, 4, 8, 16
+_KINDS = ((_INTEGER, r"^[+-]?\d{1,18}$"), (_DECIMAL, r"^[+-]?(\d{0,28}\.\d{1,10}|\d{19,28})$"), (_DOUBLE, r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf(inity)?)$"))
+_TYPES = {"integer": "bigint", "decimal": "decimal(38,10)", "double": "double", "date": "date", "text": "string", "empty": "string"}
+
+
+def cell_kind(cell: Column) -> Column:
+    """The bit of one cell; null for a gap."""
+    text = F.trim(cell)
+    kind = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$") & text.try_cast("date").isNotNull(), _DATE).otherwise(_TEXT)
+    for bit, pattern in reversed(_KINDS):
+        kind = F.when(text.rlike(pattern), bit).otherwise(kind)
+    return F.when(text != "", kind)
+
+
+def sheet_types(records: DataFrame) -> DataFrame:
+    """(file, sheet, column, name, type, n): the narrowest type that all cells of a sheet's column have.
+
+    From records with their header, as ``promote_header`` gives them.  Types form a lattice: integer below decimal below double, dates
+    beside them, text above all; gaps do not count, and a column of gaps is 'empty'.  What a set of cells is, is an or of
+    bits, so one aggregate with partial sums serves all sheets, and no sheet is looked at on its own.
+    """
+    width = F.greatest(F.size("header"), F.size("cells"))
+    both = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.struct(F.get("header", i).alias("name"), F.get("cells", i).alias("cell")))
+    cells = records.select("file", "sheet", F.posexplode(both).alias("column", "c"))
+    found = cells.select("file", "sheet", "column", "c.name", cell_kind(F.col("c.cell")).alias("kind")).groupBy("file", "sheet", "column", "name").agg(
+        F.bit_or("kind").alias("kinds"), F.count("kind").alias("n")
+    )
+    k = F.col("kinds")
+    above = F.when(k == _DATE, "date").when(k >= _DATE, "text").when(k >= _DOUBLE, "double").when(k >= _DECIMAL, "decimal").when(k == _INTEGER, "integer")
+    return found.select("file", "sheet", "column", "name", F.coalesce(above, F.lit("empty")).alias("type"), "n")
+
+
+def typed_sheet(records: DataFrame, types: DataFrame, file: str, sheet: str) -> DataFrame:
+    """The rows of one sheet as a table: columns named by its header, each with the type that all its cells have.
+
+    ``types`` is ``sheet_types`` of the same records, best written before; a row per column of the sheet comes to the driver.
+    Columns without a name are called after their place; a name that repeats gets its place added.
+    """
+    own = (F.col("file") == file) & (F.col("sheet") == sheet)
+    columns, names = types.filter(own).orderBy("column").collect(), set()
+    out = []
+    for c in columns:
+        name = c["name"] or f"column {c['column']}"
+        name = f"{name} {c['column']}" if name in names else name
+        names.add(name)
+        out.append(F.trim(cell_at(c["column"])).try_cast(_TYPES[c["type"]]).alias(name) if c["type"] != "text" else cell_at(c["column"]).alias(name))
+    return records.filter(own).select(*out)

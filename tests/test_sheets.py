@@ -168,3 +168,20 @@ def test_roles_brands_and_labels_of_a_workbook(spark, root):
     hours = pv.cal.hour_of_label(F.col("label"))
     assert sorted(rows(records.filter("role = 'Hour'").select(hours)), key=str) == [(21,), (9,), (9,), (None,)]
     assert {r["brand"] for r in pv.sheet_records(sh.read_sheet_set(spark, path), brand="Acme").collect()} == {"Acme"}
+
+
+def test_types_per_sheet_and_typed_tables(spark, root):
+    path = root({
+        "w/a.csv": "Day,N,Part,Rate,Mixed,,Gap,N\n2024-01-02,1,1.5,1e3,7,x,,12345678901234567890\n2024-02-30x,-2,2,nan,2024-01-01,y,,3\nT,0,3,2,9,z,,\n",
+        "w/b.csv": "Day,N,Part\n2024-01-02,1d,0x1F\n2024-01-03,2,3\n",
+    })
+    records = sh.promote_header(sh.read_sheet_set(spark, path))
+    types = sh.sheet_types(records)
+    got = {(s, c): t for s, c, t in rows(types.select("sheet", "column", "type"))}
+    assert [got["a", i] for i in range(8)] == ["text", "integer", "decimal", "double", "text", "text", "empty", "decimal"]
+    assert [got["b", i] for i in range(3)] == ["date", "text", "text"]
+    a = sh.typed_sheet(records, types, "w", "a")
+    assert [(f.name, f.dataType.simpleString()) for f in a.schema] == [
+        ("Day", "string"), ("N", "bigint"), ("Part", "decimal(38,10)"), ("Rate", "double"), ("Mixed", "string"), ("column 5", "string"), ("Gap", "string"), ("N 7", "decimal(38,10)")]
+    assert sorted(r["N"] for r in a.collect()) == [-2, 0, 1]
+    assert rows(sh.typed_sheet(records, types, "w", "b").select(F.year("Day")), "year(Day)") == [(2024,), (2024,)]
