@@ -27,6 +27,7 @@ class Settings:
     rate: float = 0.6
     seed: int = 11
     reject_below: float = 0.5
+    max_langs: int = 1000  # the most frequent languages are learned, each gets its share of the sample
 
 
 @dataclass
@@ -153,7 +154,7 @@ def fit(docs: DataFrame, held_out: Column | None = None, s: Settings = Settings(
     if held_out is not None:
         usable &= ~F.coalesce(held_out, F.lit(False))
     labelled = docs.filter(usable).select("doc_id", "text", F.col("lang").alias("lang"))
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()}
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(s.max_langs).collect()}
     if not counts:
         return train([], [], s)
     each = max(1, s.sample_docs // len(counts))
@@ -174,7 +175,10 @@ def predict(docs: DataFrame, model: Model, s: Settings = Settings()) -> DataFram
     they are rejected if it is, after calibration, more likely wrong than right.  Without any learned language
     every text is ``und``.  Whole texts are read; only the text goes through Python, in batches.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets times languages
+
     def label(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = shared.value
         for column in batches:
             best, sure = [], []
             for _, texts in text_groups(column):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +9,11 @@ from tallyloom.llm import bpe, chat, decontaminate, html, language, lines, mixin
 from tallyloom.llm.common import materialize, small_batches
 from tallyloom.session import new_path
 
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+def tokenizer_path(name: str) -> str:
+    """Place of a vocabulary file; looked up when a query runs, so that the others do without."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -76,7 +79,7 @@ def token_digest(docs: DataFrame) -> DataFrame:
     """Write the token files of the documents, read them back, and give each document's place and checksum."""
     spark = docs.sparkSession
     path = new_path(spark, "tokens")
-    tokens.write_token_files(docs, path, TOKENIZER)
+    tokens.write_token_files(docs, path, tokenizer_path("word_bpe_49k.json"))
     with small_batches(spark, 16):  # blocks of some 100 KB
         return materialize(tokens.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")), "digest")
 
@@ -91,7 +94,7 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = tokenizer_path("byte_bpe_50k.json")
     encoded = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), tokenizer)
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     encoded = encoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), "ids")

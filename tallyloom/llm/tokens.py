@@ -22,7 +22,7 @@ END_ID = 1
 MAX_BITS = 18
 BLOCK_IDS = 1 << 16
 CHECKPOINT_IDS = 64
-CACHE_WORDS = 300_000
+CACHE_BYTES = 64 << 20  # what a task remembers of words, about
 
 # White space that str.split also takes but that is left to the tokenizer here.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -30,7 +30,6 @@ _ASCII_SPACE = re.compile("[\x09-\x0d\x20]+")
 # Fixed value: ASCII marks that are a piece of their own beside letters; the apostrophe is not, it may join some.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
-_encoders: dict[str, Encoder] = {}
 _ID = attrgetter("id")
 
 
@@ -64,14 +63,18 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
         self.alphabet = _byte_alphabet()
-        self.old: dict[str, bytes] = {}
+        self.held = 0
 
     def __missing__(self, word: str) -> bytes:
-        known = self.old.get(word)
-        if known is None:
-            known = self._encoded(word)
-        self[word] = known
-        return known
+        packed = self._encoded(word)
+        size = 180 + 2 * len(word) + len(packed)
+        if size < CACHE_BYTES >> 6:
+            if self.held + size > CACHE_BYTES:  # frequent words come back at once
+                self.clear()
+                self.held = 0
+            self[word] = packed
+            self.held += size
+        return packed
 
     def _encoded(self, word: str) -> bytes:
         letters = word.strip(_MARKS)
@@ -87,21 +90,11 @@ class Encoder(dict):
     def ids(self, texts: list[str], end: int) -> list[np.ndarray]:
         last, out = _four_bytes([end]), []
         for t in texts:
-            if len(self) > CACHE_WORDS:  # two generations: what is still in use moves over
-                self.old = dict(self)
-                self.clear()
             words = t.split() if not _ODD_SPACE.search(t) else [w for w in _ASCII_SPACE.split(t) if w]
             out.append(np.frombuffer(b"".join([*map(self.__getitem__, words), last]), "<i4"))
         return out
 
 
-def encoder(definition: str) -> Encoder:
-    if definition not in _encoders:
-        _encoders.clear()
-        _encoders[definition] = Encoder(definition)
-    return _encoders[definition]
-
-
 # Huffman codes
 
 def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
@@ -210,7 +203,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end: int = END_ID) -> Data
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(definition.value)
+        own = Encoder(definition.value)  # goes with the task
         part, start, total = TaskContext.get().partitionId(), 0, np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):

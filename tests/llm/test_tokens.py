@@ -42,7 +42,7 @@ TEXTS = [
 
 
 def expected(rows):
-    tokenizer = Tokenizer.from_file(queries.TOKENIZER)
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path("word_bpe_49k.json"))
     at, out = 0, []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
@@ -72,7 +72,7 @@ def test_no_documents(spark):
 def test_reading_does_not_depend_on_the_split(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", "concat_ws(' ', transform(sequence(1, id % 90), x -> concat('w', x * id % 97))) as text")
     path = new_path(spark, "tokens")
-    tokens.write_token_files(docs, path, queries.TOKENIZER)
+    tokens.write_token_files(docs, path, queries.tokenizer_path("word_bpe_49k.json"))
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", 4000)
     try:
