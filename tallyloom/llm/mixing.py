@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import SPACE, materialize, without
+from tallyloom.llm.common import SPACE, materialize, quoted, without
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -71,13 +71,7 @@ def mix_plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents: each row as often as ``mix_plan`` says, with the columns it came with."""
-    planned = mix_plan(docs.select("*", F.lit(0).alias("_mix")), **options)
-    repeated = planned.filter("copies > 0").withColumn("_mix", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return _columns_of(repeated, docs)
-
-
-def _columns_of(df: DataFrame, docs: DataFrame) -> DataFrame:
-    from tallyloom.llm.common import quoted
-
-    return df.select(*[quoted(c) for c in docs.columns])
+    """The mixed documents: each row as often as ``mix_plan`` says, with the columns it came with, whatever they are called."""
+    rows = docs.select("doc_id", "source", "text", F.struct(*[quoted(c) for c in docs.columns]).alias("_row"))
+    planned = mix_plan(rows, **options).filter("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return planned.select("_row.*")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import components, frugal, materialize, mixed, shingles, small_batches, text_groups, without
+from tallyloom.llm.common import components, frugal, materialize, mixed, quoted, shingles, small_batches, text_groups, without
 
 ADDED = ("n_shingles", "component_id", "kept")
 
@@ -359,7 +359,7 @@ def linked(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
         labels = components(links.unionByName(later), "labels")
     # Components of representatives; a component's smallest representative is its smallest doc_id.
     marked = signed.join(heads, ["n", "fa", "fb"], "left")
-    return marked.select("doc_id", "n", "rep"), labels if labels is not None else spark.createDataFrame([], "node long, component long")
+    return marked.select("doc_id", "n", "rep"), labels
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -376,12 +376,32 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     return out.select("doc_id", "n_shingles", whole.alias("component_id"), (F.col("doc_id") == whole).alias("kept"))
 
 
+# Keys of rows that no doc_id of their own tells apart begin here.
+_OWN = 1 << 62
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with ``_key``: the doc_id if it is a long that one text alone has, else one from a hash of doc_id and text."""
+    number = F.col("doc_id").try_cast("bigint") if dict(docs.dtypes)["doc_id"] == "string" else F.col("doc_id").cast("bigint")
+    text = F.xxhash64("text", F.col("text").isNull())
+    marked = docs.withColumns({"_number": F.when(number.cast("string") == F.col("doc_id").cast("string"), number), "_hash": text})
+    shared = marked.groupBy("_number").agg(F.min("_hash").alias("lo"), F.max("_hash").alias("hi")).filter("_number is not null and lo <> hi")
+    shared = materialize(shared.select("_number", F.lit(True).alias("_shared")), "shared_ids")
+    own = F.xxhash64(F.col("doc_id").cast("string"), F.col("doc_id").isNull(), "_hash").bitwiseAND(F.lit(_OWN - 1)) + F.lit(_OWN)
+    key = F.when(F.col("_shared").isNotNull() | F.col("_number").isNull(), own).otherwise(F.col("_number"))
+    return marked.join(shared, "_number", "left").withColumn("_key", key).drop("_number", "_hash", "_shared")
+
+
 def drop_near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """One document of each group, with the columns it came with; of rows that repeat a doc_id one stays.
+    """One document of each group, with the columns it came with.
 
-    Rows with a null doc_id cannot be told apart from others by id; they stay.
+    Rows are told apart by doc_id and text: rows that share a doc_id with different texts are documents of their own, as are
+    rows with a null doc_id or one that is no number, and all are compared; of rows that repeat both one stays.  Null and
+    empty texts have no duplicates but rows that repeat their doc_id.  Of a group the smallest doc_id stays that is one
+    text's own, if there is any.
     """
-    keep = materialize(near_duplicates(docs, rule).filter("kept").select(F.col("doc_id").alias("_kept")), "kept")
-    named = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    stay = named.join(keep, F.col("doc_id").cast("bigint") == F.col("_kept"), "left_semi")
-    return stay.unionByName(docs.filter("doc_id is null"))
+    keyed = _keyed(docs.select("doc_id", "text", F.struct(*[quoted(c) for c in docs.columns]).alias("_row")))
+    found = near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), rule)
+    keep = materialize(found.filter("kept").select(F.col("doc_id").alias("_key")), "kept")
+    stay = keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"])
+    return stay.select("_row.*")

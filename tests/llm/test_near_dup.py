@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from plain import groups, near_duplicates
+from pyspark.sql import functions as F
 
 from tallyloom.llm import common, near_dup, queries
 
@@ -50,7 +51,23 @@ def test_null_ids_and_repeated_rows(spark):
     assert got(near_dup.near_duplicates(docs)) == {3: (2, 3), 4: (2, 3), 9: (1, 9)}
     out = near_dup.drop_near_duplicates(docs)
     assert out.columns == docs.columns
-    assert sorted((r["doc_id"] or -1, r["kept"]) for r in out.collect()) == [(-1, 1), (-1, 2), (3, 5), (9, 6)]
+    assert sorted((r["doc_id"] or -1, r["kept"]) for r in out.collect()) == [(3, 5), (9, 6)]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_rows_are_told_apart_by_id_and_text(spark, kind):
+    """Rows that share an id keep their own texts; null ids, and ids that are no numbers, are compared like others."""
+    same, other = "one two three four five six seven", "quite another text than that one is"
+    rows = [(5, same), (5, other), (5, other), (None, same), (None, None), (None, ""), (6, None), (6, None), (7, other)]
+    docs = spark.createDataFrame([(k, t, "mine") for k, t in rows], "doc_id bigint, text string, _key string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    if kind == "string":
+        docs = docs.unionByName(spark.createDataFrame([("x1", same, "mine"), ("05", same, "mine")], docs.schema))
+    out = near_dup.drop_near_duplicates(docs).collect()
+    assert {r["_key"] for r in out} == {"mine"}
+    kept = [(r["doc_id"] and str(r["doc_id"]), r["text"]) for r in out]
+    assert sorted(t for _, t in kept if t and t.startswith("quite")) == [other] and ("7", other) in kept
+    assert len([t for _, t in kept if t and t.startswith("one")]) == 1
+    assert sorted((k for k, t in kept if not t), key=str) == ["6", None, None]
 
 
 def test_no_rows(spark):

@@ -49,3 +49,43 @@ def test_mix_and_tokens(stages):
     assert len(last) == sum(mixed.values()) and last[0]["start"] == 0
     assert all(a["start"] + a["n_tokens"] == b["start"] and a["doc_id"] <= b["doc_id"] for a, b in zip(last, last[1:]))
     assert tokens.END_ID == 1
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty texts, repeated ids and rows, and columns called like those that stages add."""
+    said = "the quick brown fox jumps over the lazy dog again and again "
+    rows = [
+        (1, said, "en", "a"), (1, said + "but not here", "en", "a"), (1, said, "en", "a"), (None, None, None, None), (None, "", "en", None),
+        (2, None, "en", "b"), (3, "", "en", "b"), (4, "1234 !?", "en", "b"), (None, said * 3, None, None), (5, "word " * 30_000, "en", "c"),
+    ]
+    clash = ["n_words", "n_hit", "contaminated", "score", "lang_pred", "rejected", "size", "target", "copies", "taken", "kept", "_row", "_key", "a.b"]
+    schema = "doc_id bigint, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in clash)
+    return spark.createDataFrame([(*r, *[f"own {c}" for c in clash]) for r in rows], schema), clash
+
+
+@pytest.mark.parametrize("at", range(4))
+def test_stages_take_odd_rows_and_keep_columns_of_their_own(spark, folder, odd, at):
+    docs, clash = odd
+    name, stage = corpus_pipeline.STAGES[at]
+    out = stage(spark, docs, folder)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert rows and all(r[c] == f"own {c}" for r in rows for c in clash)
+    before = {(r["doc_id"], r["text"]) for r in docs.collect()}
+    assert {(r["doc_id"], r["text"]) for r in rows} <= before
+    assert stage(spark, docs.limit(0), folder).collect() == []
+    if name == "language_id":
+        assert all(r["text"] and any(c.isalpha() for c in r["text"]) for r in rows)
+    if name == "near_dedup":
+        assert len({(r["doc_id"], r["text"]) for r in rows}) == len(rows) and {(4, "1234 !?"), (2, None), (3, "")} <= {(r["doc_id"], r["text"]) for r in rows}
+    if name == "decontamination":
+        assert len(rows) == docs.count()
+
+
+def test_the_last_stage_takes_odd_rows(spark, folder, odd):
+    docs, _ = odd
+    rows = corpus_pipeline.STAGES[4][1](spark, docs, folder).orderBy("start").collect()
+    assert len(rows) == docs.count() and rows[0]["start"] == 0
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:]))
+    assert corpus_pipeline.STAGES[4][1](spark, docs.limit(0), folder).collect() == []
