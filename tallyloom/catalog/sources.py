@@ -34,7 +34,7 @@ def delivery_csv(t):
 
 def write_files(t):
     """All files that queries read back, so that a clock can start after they are there."""
-    for written in (titles_csv, networks_csv, delivery_csv, fx.source_files, fx.latin_files, fx.provider_files):
+    for written in (titles_csv, networks_csv, delivery_csv, fx.source_files, fx.latin_files, fx.provider_files, source_books):
         written(t)
 
 
