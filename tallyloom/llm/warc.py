@@ -16,6 +16,8 @@ from tallyloom.llm.common import materialize
 DATE = "2024-01-01T00:00:00Z"
 LEAST_SHARED = 100
 CHUNK = 4 << 20
+# What a task reads of archives, about.
+TASK_BYTES = 64 << 20
 
 # What a record begins with, compressed as a gzip member of its own or plain.
 GZIP_MAGIC = b"\x1f\x8b\x08"
@@ -151,12 +153,26 @@ class _Archive:
         return (self.at(offset, end - offset) if body else b""), end
 
 
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of every file that is not empty, without its content."""
+    return spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
+
+
+def parts_for(spark: SparkSession, path: str, chunk: int) -> int:
+    """Into how many tasks archives are read: about TASK_BYTES each, a chunk at least, and all cores where there are so many.
+
+    Rows of ranges are tiny however much they stand for, so the number is set here and not left to their size."""
+    told = _archives(spark, path).agg(F.sum("length").alias("bytes"), F.sum(F.ceil(F.col("length") / chunk)).alias("chunks")).first()
+    chunks = int(told["chunks"] or 0)
+    return max(1, min(chunks, max(spark.sparkContext.defaultParallelism, -(-int(told["bytes"] or 0) // TASK_BYTES))))
+
+
 def _ranges(spark: SparkSession, path: str, chunk: int) -> DataFrame:
     """(path, length, start, end) of every chunk of every file.  Cut by bytes, so each scan sees the same chunks."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length").filter("length > 0")
+    files = _archives(spark, path)
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(chunk).cast("bigint")))
     ranges = files.select("path", "length", starts.alias("start"))
-    return ranges.withColumn("end", F.least("length", F.col("start") + chunk)).repartition("path", "start")
+    return ranges.withColumn("end", F.least("length", F.col("start") + chunk)).repartition(parts_for(spark, path, chunk), "path", "start")
 
 
 def chunk_exits(ranges: DataFrame) -> DataFrame:
@@ -262,4 +278,4 @@ def read_warc(spark: SparkSession, path: str, chunk: int = CHUNK, with_payload:
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
     entries = verified_entries(spark, path, chunk)
-    return entries.repartition("path", "offset").mapInArrow(walk, RECORD)
+    return entries.repartition(parts_for(spark, path, chunk), "path", "offset").mapInArrow(walk, RECORD)
