@@ -4,6 +4,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tallyloom.llm import warc
 from tallyloom.session import new_path
 
@@ -75,3 +77,15 @@ def test_no_pages(spark):
     path = new_path(spark, "warc")
     warc.write_warc(warc.page_records(pages), path)
     assert warc.read_warc(spark, path).collect() == []
+
+
+def test_ranges_are_read_in_several_tasks(spark, tmp_path):
+    """Rows of ranges are tiny; their number of tasks follows the bytes they stand for."""
+    (tmp_path / "a.warc").write_bytes(b"x" * 20_000)
+    (tmp_path / "b.warc").write_bytes(b"y" * 500)
+    parts = warc.parts_for(spark, str(tmp_path), 1000)
+    assert parts == min(21, spark.sparkContext.defaultParallelism)
+    ranges = warc._ranges(spark, str(tmp_path), 1000)
+    used = ranges.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert ranges.count() == 21 and used > parts // 2
+    assert warc.parts_for(spark, str(tmp_path), 1 << 30) == 2
