@@ -262,6 +262,15 @@ def test_net_fits_depend_on_the_weights(learnable, frame):
     assert learning.net_fits(learnable.limit(0), "id").collect() == []
 
 
+def test_epochs_do_not_read_the_rows_again(spark, learnable):
+    from tallyloom.plans import learning
+
+    read = spark.sparkContext.accumulator(0)
+    counted = F.udf(lambda i: read.add(1) or i, "int").asNondeterministic()
+    out = learning.net_fits(learnable.withColumn("id", counted("id")), "id", rule=learning.Rprop(epochs=3)).collect()
+    assert sum(r["n"] for r in out) == 200 and read.value <= 3 * 400
+
+
 def test_reach_files_that_name_no_provider(frame):
     from tallyloom.plans import reach
 
