@@ -7,6 +7,7 @@ import re
 import sys
 import unicodedata
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
 from operator import attrgetter
 
@@ -29,6 +30,10 @@ _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f
 _ASCII_SPACE = re.compile("[\x09-\x0d\x20]+")
 # Fixed value: ASCII marks that are a piece of their own beside letters; the apostrophe is not, it may join some.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# The pieces that ``word_bpe_49k.json`` cuts a lower-cased text into, for texts without characters that are
+# odd here: what lower-cases to other letters, composes, or is a letter, number or space outside ASCII and Latin letters.
+_PLAIN_ODD = re.compile("[^\x00-\x1b\x20-\x7e\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e]")
+_PIECES = re.compile(r"[a-z\xdf-\xf6\xf8-\u017f]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\sa-z\xdf-\xf6\xf8-\u017f0-9]+", re.ASCII)
 
 _ID = attrgetter("id")
 
@@ -40,10 +45,11 @@ def _four_bytes(ids) -> bytes:
     return packed.tobytes()
 
 
-def _byte_alphabet() -> dict[int, int]:
+def _byte_alphabet() -> str:
     """Byte-level BPE writes a byte as itself where it is a visible Latin-1 character, else as the next one after 255."""
     hidden = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)]
-    return {b: 256 + i for i, b in enumerate(hidden)}
+    written = {b: 256 + i for i, b in enumerate(hidden)}
+    return "".join(chr(written.get(b, b)) for b in range(256))
 
 
 class Encoder(dict):
@@ -51,8 +57,10 @@ class Encoder(dict):
     when they are first asked for.
 
     A text's ids are those of its words in turn: ``word_bpe_49k.json`` drops white space and never joins what it
-    parts.  It lower-cases and cuts letters from marks, so a word of letters between marks is looked up by its parts,
-    and a run of letters in lower case goes to the BPE model itself.  Anything else takes the library's whole path.
+    parts.  Texts of ASCII and Latin letters are lower-cased and cut into its pieces at once, so that a word is one entry
+    however it is written and whatever marks follow; others are cut at white space.  It lower-cases and cuts letters
+    from marks, so a word of letters between marks is looked up by its parts, and a run of letters in lower case goes to
+    the BPE model itself.  Anything else takes the library's whole path.
     """
 
     def __init__(self, definition: str):
@@ -83,14 +91,17 @@ class Encoder(dict):
             if letters != word or lower != letters:
                 at = word.find(letters)
                 return b"".join(self[x] for x in (word[:at], lower, word[at + len(letters):]) if x)
-            mapped = lower if lower.isascii() else lower.encode().decode("latin-1").translate(self.alphabet)
+            mapped = lower if lower.isascii() else charmap_decode(lower.encode(), "strict", self.alphabet)[0]
             return _four_bytes(map(_ID, self.model.tokenize(mapped)))
         return _four_bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def ids(self, texts: list[str], end: int) -> list[np.ndarray]:
         last, out = _four_bytes([end]), []
         for t in texts:
-            words = t.split() if not _ODD_SPACE.search(t) else [w for w in _ASCII_SPACE.split(t) if w]
+            if "<|" not in t and not _PLAIN_ODD.search(t):
+                words = _PIECES.findall(t.lower())
+            else:
+                words = t.split() if not _ODD_SPACE.search(t) else [w for w in _ASCII_SPACE.split(t) if w]
             out.append(np.frombuffer(b"".join([*map(self.__getitem__, words), last]), "<i4"))
         return out
 

@@ -88,3 +88,24 @@ def test_reading_does_not_depend_on_the_split(spark):
 def test_query_on_the_test_tables(spark, folder):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     assert got(queries.op10_token_output(spark, folder)) == expected(rows)
+
+
+def test_a_word_is_one_entry_however_it_is_written():
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        own = tokens.Encoder(f.read())
+    own.ids(["Straße straße, (STRASSE) straße; Ça ça!\tÇA"], 1)
+    assert set(own) == {"straße", ",", "(", "strasse", ")", ";", "ça", "!"}
+
+
+def test_pieces_of_plain_texts_equal_the_library():
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        own = tokens.Encoder(f.read())
+    plain = [chr(c) for c in range(0x2100) if not tokens._PLAIN_ODD.search(chr(c))]
+    rng = np.random.default_rng(5)
+    texts = [f"a{c}b {c}{c} {c}'s" for c in plain] + ["".join(rng.choice(plain, 40)) for _ in range(1000)]
+    texts += ["".join(rng.choice(list("aZß'strevmdl0 9\t<|>.’"), 30)) for _ in range(2000)]
+    for text, ids in zip(texts, own.ids(texts, 1), strict=True):
+        assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], repr(text)
