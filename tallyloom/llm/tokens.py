@@ -9,10 +9,12 @@ import unicodedata
 from array import array
 from codecs import charmap_decode
 from collections.abc import Iterator
+from itertools import chain
 from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +25,9 @@ END_ID = 1
 MAX_BITS = 18
 BLOCK_IDS = 1 << 16
 CHECKPOINT_IDS = 64
+COMMON_DOCUMENTS, COMMON_WORDS = 1 << 12, 1 << 17  # rows that are asked for common words, about, and how many are kept
 CACHE_BYTES = 64 << 20  # what a task remembers of words, about
+GROUP_CHARS = 1 << 21  # characters whose words are told apart at once, about; a longer text is a group
 
 # White space that str.split also takes but that is left to the tokenizer here.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -57,13 +61,14 @@ class Encoder(dict):
     when they are first asked for.
 
     A text's ids are those of its words in turn: ``word_bpe_49k.json`` drops white space and never joins what it
-    parts.  Texts of ASCII and Latin letters are lower-cased and cut into its pieces at once, so that a word is one entry
-    however it is written and whatever marks follow; others are cut at white space.  It lower-cases and cuts letters
-    from marks, so a word of letters between marks is looked up by its parts, and a run of letters in lower case goes to
-    the BPE model itself.  Anything else takes the library's whole path.
+    parts.  Texts of ASCII and Latin letters are lower-cased, their words told apart by Arrow, a group of texts at once, and
+    each distinct word is cut into its pieces, so that a piece is one entry however it is written and whatever marks
+    follow.  Other texts are cut at white space, word by word.  ``common`` words are known from the start.  The tokenizer
+    lower-cases and cuts letters from marks, so a word of letters between marks is looked up by its parts, and a run of
+    letters in lower case goes to the BPE model itself.  Anything else takes the library's whole path.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, common: tuple[str, bytes, bytes] = ("", b"", b"")):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -71,19 +76,32 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
         self.alphabet = _byte_alphabet()
-        self.held = 0
+        self.common = common
+        self._start()
+
+    def _start(self) -> None:
+        """Nothing is known but the common words: words, sizes of their ids in bytes, ids."""
+        self.clear()
+        words, sizes, ids = self.common
+        ends = np.cumsum(np.frombuffer(sizes, "<i4")).tolist()
+        self.update(zip(words.split(), map(ids.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+        self.held = 180 * len(self) + 2 * len(words) + len(ids)
 
     def __missing__(self, word: str) -> bytes:
-        packed = self._encoded(word)
+        return self._kept(word, self._encoded(word))
+
+    def _kept(self, word: str, packed: bytes) -> bytes:
         size = 180 + 2 * len(word) + len(packed)
         if size < CACHE_BYTES >> 6:
             if self.held + size > CACHE_BYTES:  # frequent words come back at once
-                self.clear()
-                self.held = 0
+                self._start()
             self[word] = packed
             self.held += size
         return packed
 
+    def _mapped(self, letters: str) -> str:
+        return letters if letters.isascii() else charmap_decode(letters.encode(), "strict", self.alphabet)[0]
+
     def _encoded(self, word: str) -> bytes:
         letters = word.strip(_MARKS)
         lower = letters.lower()
@@ -91,18 +109,57 @@ class Encoder(dict):
             if letters != word or lower != letters:
                 at = word.find(letters)
                 return b"".join(self[x] for x in (word[:at], lower, word[at + len(letters):]) if x)
-            mapped = lower if lower.isascii() else charmap_decode(lower.encode(), "strict", self.alphabet)[0]
-            return _four_bytes(map(_ID, self.model.tokenize(mapped)))
+            return _four_bytes(map(_ID, self.model.tokenize(self._mapped(lower))))
         return _four_bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
+    def _packed(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct lower-cased words of plain texts."""
+        tokenize, out = self.model.tokenize, [*map(self.get, words)]
+        fresh = [i for i, packed in enumerate(out) if packed is None]
+        runs = [i for i in fresh if words[i].isalpha()]
+        ids = [[t.id for t in tokenize(self._mapped(words[i]))] for i in runs]
+        raw, at = np.fromiter(chain.from_iterable(ids), "<i4").tobytes(), 0
+        for i, own in zip(runs, ids, strict=True):
+            out[i] = self._kept(words[i], raw[at:(at := at + 4 * len(own))])
+        for i in fresh:
+            if out[i] is None:
+                out[i] = b"".join(map(self.__getitem__, _PIECES.findall(words[i])))
+        return out
+
+    def _plain_ids(self, texts: list[str], end: int) -> list[np.ndarray]:
+        """Ids of lower-cased plain texts: every distinct word is looked up once, its ids are then put wherever it stands."""
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        found = words.flatten().dictionary_encode()
+        packed = [*self._packed(found.dictionary.to_numpy(zero_copy_only=False).tolist()), _four_bytes([end])]
+        table = np.frombuffer(b"".join(packed), "<i4")
+        n = np.fromiter(map(len, packed), np.int64, len(packed)) >> 2
+        first = np.cumsum(n) - n
+        bounds = words.offsets.to_numpy()[1:].astype(np.int64)
+        at = np.insert(found.indices.to_numpy().astype(np.int64), bounds, len(packed) - 1)
+        n, first = n[at], first[at]
+        ends = np.cumsum(n)
+        flat = table[np.repeat(first - (ends - n), n) + np.arange(int(ends[-1]))]
+        return np.split(flat, ends[bounds + np.arange(len(bounds))][:-1])
+
     def ids(self, texts: list[str], end: int) -> list[np.ndarray]:
-        last, out = _four_bytes([end]), []
-        for t in texts:
+        last, out, group, size = _four_bytes([end]), [], [], 0
+
+        def put() -> None:
+            for i, own in zip(group, self._plain_ids([texts[i].lower() for i in group], end) if group else (), strict=True):
+                out[i] = own
+
+        for i, t in enumerate(texts):
+            out.append(None)
             if "<|" not in t and not _PLAIN_ODD.search(t):
-                words = _PIECES.findall(t.lower())
+                if size + len(t) > GROUP_CHARS:
+                    put()
+                    group, size = [], 0
+                group.append(i)
+                size += len(t)
             else:
                 words = t.split() if not _ODD_SPACE.search(t) else [w for w in _ASCII_SPACE.split(t) if w]
-            out.append(np.frombuffer(b"".join([*map(self.__getitem__, words), last]), "<i4"))
+                out[i] = np.frombuffer(b"".join([*map(self.__getitem__, words), last]), "<i4")
+        put()
         return out
 
 
@@ -202,19 +259,35 @@ def _codebook(counts: dict[int, int]) -> np.ndarray:
 
 # Files
 
+def common_words(docs: DataFrame, tokenizer: str) -> tuple[str, bytes, bytes]:
+    """Common runs of Latin letters with their ids, for ``Encoder``, so that tasks need not encode them again each.
+
+    They come from a sample of COMMON_DOCUMENTS rows, which only decides what is known early, not any result; at most
+    COMMON_WORDS reach the driver.
+    """
+    share = min(1.0, COMMON_DOCUMENTS / max(1, docs.count()))
+    runs = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017f]{1,64}+(?![a-z\u00df-\u017f])"), F.lit(0)))
+    found = docs.select("text").sample(share, seed=1).select(runs.alias("word")).groupBy("word").count()
+    words = [r["word"] for r in found.filter("count > 1").orderBy(F.desc("count"), "word").limit(COMMON_WORDS).collect() if r["word"] == r["word"].lower()]
+    with open(tokenizer, encoding="utf-8") as f:
+        packed = Encoder(f.read())._packed(words)
+    return " ".join(words), np.array([len(x) for x in packed], "<i4").tobytes(), b"".join(packed)
+
+
 def encode_documents(docs: DataFrame, tokenizer: str, end: int = END_ID) -> DataFrame:
-    """(part, start, doc_id, ids, used, counts) in ascending doc_id order, written; start counts the ids before it in its part.
+    """(part, start, doc_id, n, ids, used, counts) in ascending doc_id order, written; start counts the ids before it in its part.
+    A row has n ids, little-endian, in two bytes each where that is enough for all of them, else in four.
 
     Rows are range-partitioned and sorted by doc_id, then a hash of the text (null as empty, null doc_ids first), and
     encoded in that order; rows that repeat a doc_id all stay.  The last row of a part has no ids, but which ids the part
     used and how often, so that counting does not read the ids again.
     """
-    names = ["part", "start", "doc_id", "ids", "used", "counts"]
+    names = ["part", "start", "doc_id", "n", "ids", "used", "counts"]
     with open(tokenizer, encoding="utf-8") as f:
-        definition = docs.sparkSession.sparkContext.broadcast(f.read())
+        given = docs.sparkSession.sparkContext.broadcast((f.read(), common_words(docs, tokenizer)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Encoder(definition.value)  # goes with the task
+        own = Encoder(*given.value)  # what it remembers goes with the task
         part, start, total = TaskContext.get().partitionId(), 0, np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -231,20 +304,21 @@ def encode_documents(docs: DataFrame, tokenizer: str, end: int = END_ID) -> Data
                     pa.array(np.full(len(ids), part, np.int32)),
                     pa.array(start + ends[:-1]),
                     piece.column("doc_id"),
-                    pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat)),
+                    pa.array(n),
+                    pa.array([x.astype("<u2" if x.max(initial=0) < 1 << 16 else "<u4").tobytes() for x in ids], pa.binary()),
                     pa.array(none, pa.list_(pa.int32())),
                     pa.array(none, pa.list_(pa.int64())),
                 ], names)
                 start += int(ends[-1])
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([
-            pa.array([part], pa.int32()), pa.array([start]), pa.array([None], pa.int64()), pa.array([None], pa.list_(pa.int32())),
+            pa.array([part], pa.int32()), pa.array([start]), pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.binary()),
             pa.array([used.astype(np.int32)], pa.list_(pa.int32())), pa.array([total[used]], pa.list_(pa.int64())),
         ], names)
 
     ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = ordered.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    return materialize(ordered.drop("tie").mapInArrow(frugal(encode), "part int, start bigint, doc_id bigint, ids array<int>, used array<int>, counts array<bigint>"), "ids")
+    return materialize(ordered.drop("tie").mapInArrow(frugal(encode), "part int, start bigint, doc_id bigint, n bigint, ids binary, used array<int>, counts array<bigint>"), "ids")
 
 
 def id_counts(encoded: DataFrame) -> dict[int, int]:
@@ -291,16 +365,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = END
             ], ["part", "start", "doc_ids", "n_ids", "checkpoints", "payload"])
 
         for batch in batches:
-            flat = batch.column("ids")
-            values, bounds = flat.flatten().to_numpy(), np.concatenate([[0], np.cumsum(flat.value_lengths().to_numpy())])
-            parts, starts, docs_here = (batch.column(c).to_pylist() for c in ("part", "start", "doc_id"))
-            for i, doc_id in enumerate(docs_here):
-                own = values[bounds[i]:bounds[i + 1]]
-                if ids and (parts[i] != part or size + len(own) > BLOCK_IDS or starts[i] != start + size):
+            for part_here, start_here, doc_id, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(raw, f"<u{len(raw) // n}")
+                if ids and (part_here != part or size + len(own) > BLOCK_IDS or start_here != start + size):
                     yield flush()
                     doc_ids, ids, size = [], [], 0
                 if not ids:
-                    part, start = parts[i], starts[i]
+                    part, start = part_here, start_here
                 doc_ids.append(doc_id)
                 ids.append(own)
                 size += len(own)
@@ -308,7 +379,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = END
             yield flush()
 
     with small_batches(spark):
-        encoded.filter("ids is not null").select("part", "start", "doc_id", "ids").mapInArrow(frugal(block), BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
+        encoded.filter("ids is not null").select("part", "start", "doc_id", "n", "ids").mapInArrow(frugal(block), BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
     # One row per part and per id of the vocabulary.
     totals = encoded.filter("used is not null").select("part", F.col("start").alias("n")).orderBy("part").collect()
     firsts, at = [], 0

@@ -109,3 +109,54 @@ def test_pieces_of_plain_texts_equal_the_library():
     texts += ["".join(rng.choice(list("aZß'strevmdl0 9\t<|>.’"), 30)) for _ in range(2000)]
     for text, ids in zip(texts, own.ids(texts, 1), strict=True):
         assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], repr(text)
+
+
+def test_distinct_words_of_a_group_are_looked_up_once(monkeypatch):
+    """Plain and odd texts in turn, groups that end between them, and a cache that is emptied on the way."""
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        own = tokens.Encoder(f.read())
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdeéß"), rng.integers(1, 9))) + m for m in ["", ",", "'s", "!?", "2", " \t"] for _ in range(60)]
+    texts = [" ".join(rng.choice(words, rng.integers(0, 90))) + ("" if i % 5 else " 日本　x") for i in range(300)] + ["", " \n", " a ", "<|endoftext|>"]
+    for chars, cache in ((1 << 21, 64 << 20), (700, 40_000)):
+        monkeypatch.setattr(tokens, "GROUP_CHARS", chars)
+        monkeypatch.setattr(tokens, "CACHE_BYTES", cache)
+        for text, ids in zip(texts, own.ids(texts, 1), strict=True):
+            assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 1], repr(text)
+    monkeypatch.undo()
+    asked, packed = [], own._packed
+    monkeypatch.setattr(own, "_packed", lambda found: asked.extend(found) or packed(found))
+    own.ids(["A word, a WORD,", "a\tword, b"], 1)
+    assert sorted(asked) == ["a", "b", "word,"]
+
+
+def test_ids_between_the_stages_are_narrow(spark):
+    docs = spark.createDataFrame([(1, "Hello, world"), (2, None)], "doc_id bigint, text string")
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    for end, width in ((1, 2), (1 << 16, 4)):
+        found = tokens.encode_documents(docs, path, end).filter("ids is not null").collect()
+        assert {r["doc_id"]: (r["n"], len(r["ids"])) for r in found} == {1: (4, 4 * width), 2: (1, width)}
+        assert {int.from_bytes(r["ids"][-width:], "little") for r in found} == {end}
+    out = new_path(spark, "tokens")
+    tokens.write_token_files(docs, out, path, 1 << 16)
+    assert {r["doc_id"]: r["ids"][-4:] for r in tokens.read_token_files(spark, out).collect()} == dict.fromkeys((1, 2), b"\0\0\1\0")
+
+
+def test_common_words_only_save_work(spark, monkeypatch):
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    docs = spark.createDataFrame([("The straße, the STRASSE! İI ŒUVRE œuvre",), (None,), ("the end 12 12 " + "long" * 50,), ("日本 日本",)], "text string")
+    common = tokens.common_words(docs, path)
+    assert set(common[0].split()) == {"the", "œuvre", "i"} and tokens.common_words(docs.limit(0), path) == ("", b"", b"")
+    with open(path, encoding="utf-8") as f:
+        own = tokens.Encoder(f.read(), common)
+    assert set(own) == set(common[0].split())
+    asked, mapped = [], own._mapped
+    monkeypatch.setattr(own, "_mapped", lambda word: asked.append(word) or mapped(word))
+    texts = ["The the ŒUVRE", "i the", "日本 The"]
+    assert [x.tolist() for x in own.ids(texts, 1)] == [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert asked == ["日本"]  # the model is not asked for words that are known
+    own._start()
+    assert set(own) == set(common[0].split())
